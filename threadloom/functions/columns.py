@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -16,6 +16,16 @@ SPACE = r"[\s\x1c-\x1f]"
 LINK = rf"(?iU)https?://[^\s\x1c-\x1f]+|www\.[^\s\x1c-\x1f]+"
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    Plain projections get copied into every filter that later uses them. The output of a generator does
+    not, so costly expressions go through one; it adds no exchange.
+    """
+    kept = [F.col(name) for name in df.columns if name not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 # --- time ---------------------------------------------------------------------------------------
 
 

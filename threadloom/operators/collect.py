@@ -9,7 +9,6 @@ from threadloom.functions import columns as C
 from threadloom.functions.ranking import first_n
 from threadloom.operators.preprocess import union_games
 
-NEWEST_FIRST = [F.desc("publishedAt"), "commentId"]
 LAST = (1 << 63) - 1  # place of comments without a time: after all others
 
 
@@ -38,7 +37,7 @@ def cap_videos_per_game(videos: DataFrame, n: int | None = 25) -> DataFrame:
 
 
 def cap_top_level_per_video(top: DataFrame, n: int | None = 500) -> DataFrame:
-    return first_n(top, ["videoId"], NEWEST_FIRST, n, F.col("commentId"))
+    return first_n(top, ["videoId"], [F.desc("publishedAt"), "commentId"], n, F.col("commentId"))
 
 
 def cap_replies_per_thread(

@@ -66,7 +66,7 @@ def text_fallback(df: DataFrame) -> DataFrame:
 
 
 def clean_comments(df: DataFrame) -> DataFrame:
-    return df.withColumn("textClean", C.clean_text(F.coalesce("text", "textOriginal")))
+    return C.computed(df, textClean=C.clean_text(F.coalesce("text", "textOriginal")))
 
 
 def drop_empty_text(df: DataFrame) -> DataFrame:

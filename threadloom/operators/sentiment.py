@@ -115,13 +115,10 @@ def _scores(df: DataFrame, text: str, lists: X.Lexicon) -> DataFrame:
         return F.when(mass > 0, F.round(F.col(part) / mass, 3)).otherwise(0.0)
 
     compound = F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + X.NORMALISER)
-    df = df.withColumns({
-        "sentiment_method": F.lit("vader"),
-        "vader_neg": share("_down"),
-        "vader_neu": share("_zero"),
-        "vader_pos": share("_up"),
-        "vader_compound": F.round(compound, 4),
-    })
+    df = C.computed(
+        df, vader_neg=share("_down"), vader_neu=share("_zero"), vader_pos=share("_up"),
+        vader_compound=F.round(compound, 4),
+    ).withColumn("sentiment_method", F.lit("vader"))
     df = df.withColumn("vader_label", C.label_from_compound(F.col("vader_compound")))
     return df.withColumns({"sentiment_label": F.col("vader_label"), "sentiment_score": F.col("vader_compound")})
 
@@ -130,7 +127,7 @@ _HELPERS = ["_words", "_low", "_values", "_mixed", "_but", "_s", "_emph", "_sum"
 
 
 def _with_words(df: DataFrame, text: str) -> DataFrame:
-    df = df.withColumn("_words", words_of(F.coalesce(F.col(text), F.lit(""))))
+    df = C.computed(df, _words=words_of(F.coalesce(F.col(text), F.lit(""))))
     return df.withColumn("_low", F.transform("_words", F.lower))
 
 
@@ -185,7 +182,7 @@ def batch_classifier(
     """
     kind = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
     predict = predict_batch_udf(make_predict_fn, return_type=kind, batch_size=batch_size)
-    df = df.withColumn("_out", predict(F.coalesce(F.col(text), F.lit(""))))
+    df = C.computed(df, _out=predict(F.coalesce(F.col(text), F.lit(""))))
     label = C.normalise_label(F.col("_out.label"))
     return df.withColumns({
         "sentiment_method": F.lit(method),

@@ -44,7 +44,7 @@ def user_name(col: Column) -> Column:
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, events = read(spark, sf_dir, "documents"), read(spark, sf_dir, "events")
-    rows = documents.drop("n_chars").join(
+    rows = documents.drop("n_chars").repartition("doc_id").join(
         events.select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"),
         "doc_id",
     ).withColumn("week", F.date_trunc("week", "ts"))
