@@ -18,8 +18,8 @@ from threadloom.session import Scratch
 # projection without any exchange, however long or frequent a text is.
 
 _EDGE = "|".join(re.escape(p) for p in sorted(X.EDGE_PUNCTUATION, key=len, reverse=True))
-_LEADING = rf"(?<!\S)(?:{_EDGE})([^\p{{Punct}}\s]{{2,}})(?!\S)"
-_TRAILING = rf"(?<!\S)([^\p{{Punct}}\s]{{2,}})(?:{_EDGE})(?!\S)"
+_LEADING = rf"(?<!\S)(?:{_EDGE})([^\p{{Punct}}\s]{{2,}}+)(?!\S)"
+_TRAILING = rf"(?<!\S)([^\p{{Punct}}\s]{{2,}}+)(?:{_EDGE})(?!\S)"
 
 
 def words_of(text: Column) -> Column:

@@ -15,6 +15,7 @@ from threadloom.plans import network_queries as N
 from threadloom.plans import sentiment_queries as T
 from threadloom.plans import views_sql as Q
 from threadloom.plans.registry import query
+from threadloom.session import Scratch
 from threadloom.sources import star_views as V
 
 # --- terms: language and source as the group ----------------------------------------------------
@@ -103,8 +104,9 @@ names AS (
 
 
 def enriched(spark, sf):
+    """Scored comments with the network columns, written once: the tables below read it several times."""
     central = N.simple_centrality(N.comments_graph(spark, sf))
-    return G.network_enrich(T.scored(spark, sf), central)
+    return Scratch(spark, "enriched").table(G.network_enrich(T.scored(spark, sf), central), "comments")
 
 
 @query("community_users", f"{ENRICHED} SELECT * FROM users")
