@@ -38,7 +38,9 @@ def open_cache(spark: SparkSession, path: str, outputs: T.StructType) -> DataFra
     """The cache at a path; one that does not exist yet is empty."""
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         stored = spark.createDataFrame([], cache_schema(outputs))
     return score_cache_read(stored, outputs)
 

@@ -124,7 +124,8 @@ class Adjacency:
             slices = F.coalesce("slices", F.lit(1))
             arcs = arcs.join(self.hubs, "src", "left").withColumn("slice", F.pmod(F.xxhash64("dst"), slices).cast("int"))
             arcs = arcs.drop("slices")
-        parts = max(1, -(-total // ROWS_PER_PARTITION))
+        usual = int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(usual, total // 20_000), total // ROWS_PER_PARTITION)
         self.arcs = arcs.repartition(parts, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     def expand(self, rows: DataFrame) -> DataFrame:

@@ -93,7 +93,7 @@ WINDOW = ("2024-03-01 00:00:00", "2024-09-15 12:00:00")
 SELECT "commentId", "gameLabel" FROM comments
 WHERE ord % 13 = 0 OR "publishedAt" BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}'""")
 def date_window(spark, sf):
-    rows = V.comments(spark, sf).withColumn("publishedAt", F.when(F.col("ord") % 13 != 0, F.col("publishedAt")))
+    rows = V.comments(spark, sf, text=False).withColumn("publishedAt", F.when(F.col("ord") % 13 != 0, F.col("publishedAt")))
     ends = [F.lit(text).cast("timestamp") for text in WINDOW]
     return K.date_window(rows, *ends).select("commentId", "gameLabel")
 

@@ -115,7 +115,7 @@ comp AS (SELECT game, node, min(root) AS component FROM reach GROUP BY ALL)"""
 
 
 def comments_graph(spark, sf):
-    return G.build_graph(P.reply_edges(V.comments(spark, sf)))
+    return G.build_graph(P.reply_edges(V.comments(spark, sf, text=False)))
 
 
 @query("connected_components", f"""{Q.with_(*COMMENTS_GRAPH, REACH, recursive=True)}
@@ -225,7 +225,7 @@ def comment_community(spark, sf):
     members = graph.vertices.join(given_partition(graph), "vid").select(
         "game", F.col("node").alias("authorChannelId"), F.col("community").cast("int").alias("community_id")
     )
-    return G.comment_community(V.comments(spark, sf), members).select("commentId", "community_id")
+    return G.comment_community(V.comments(spark, sf, text=False), members).select("commentId", "community_id")
 
 
 def simple_centrality(graph):
@@ -257,7 +257,7 @@ SELECT "commentId", weighted_degree, in_degree, out_degree, pagerank, betweennes
 FROM comments LEFT JOIN central ON game = "gameLabel" AND node = "authorChannelId" """)
 def network_enrich(spark, sf):
     central = simple_centrality(comments_graph(spark, sf))
-    return G.network_enrich(V.comments(spark, sf), central).select(
+    return G.network_enrich(V.comments(spark, sf, text=False), central).select(
         "commentId", "weighted_degree", "in_degree", "out_degree", "pagerank", "betweenness", "centrality_group"
     )
 

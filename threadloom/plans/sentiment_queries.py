@@ -177,4 +177,4 @@ def top_videos(spark, sf):
 SELECT "gameLabel", count(*) FILTER ("isTopLevel") AS "Top-level", count(*) FILTER (NOT "isTopLevel") AS "Reply"
 FROM comments GROUP BY ALL""")
 def comment_volume(spark, sf):
-    return D.comment_volume(V.comments(spark, sf))
+    return D.comment_volume(V.comments(spark, sf, text=False))

@@ -180,7 +180,7 @@ SELECT "commentId", CASE WHEN bad THEN NULL ELSE strftime("publishedAt", '%Y-%m'
 FROM (SELECT *, ord % 19 = 0 AS bad FROM comments)""")
 def time_buckets(spark, sf):
     text = F.when(F.col("ord") % 19 == 0, "not a time").otherwise(C.to_zulu(F.col("publishedAt")))
-    rows = V.comments(spark, sf).withColumn("publishedAt", text)
+    rows = V.comments(spark, sf, text=False).withColumn("publishedAt", text)
     return M.time_buckets(rows).select("commentId", "month", "quarter")
 
 

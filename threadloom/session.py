@@ -16,6 +16,10 @@ SETTINGS = {
     # also where the split costs a further exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort joins where the measured partitions are small enough.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Loop state is small in bytes but expands in the next join: do not pack its files into few tasks.
+    "spark.sql.files.openCostInBytes": "524288",
 }
 
 

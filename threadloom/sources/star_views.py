@@ -42,13 +42,16 @@ def user_name(col: Column) -> Column:
     return F.concat(F.lit("Name "), (col % 400).cast("string"))
 
 
-def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def comments(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
+    """Threads are resolved on narrow rows; the texts move once, for the join by document."""
     documents, events = read(spark, sf_dir, "documents"), read(spark, sf_dir, "events")
-    rows = documents.drop("n_chars").repartition("doc_id").join(
+    rows = documents.select("doc_id", "lang", "source").join(
         events.select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"),
         "doc_id",
     ).withColumn("week", F.date_trunc("week", "ts"))
     rows = answered(rows, ["lang", "source", "week"], ["ts", "doc_id"], "user_id", "doc_id")
+    if text:
+        rows = documents.select("doc_id", "text").repartition("doc_id").join(rows, "doc_id")
     published = F.col("ts") + F.make_interval(months=(F.col("doc_id") % MONTHS).cast("int"))
     return rows.select(
         F.col("lang").alias("gameLabel"),
@@ -63,8 +66,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         user_id(F.col("user_id")).alias("authorChannelId"),
         user_name(F.col("replyTo")).alias("replyToAuthorDisplayName"),
         user_id(F.col("replyTo")).alias("replyToAuthorChannelId"),
-        "text",
-        F.lit(None).cast("string").alias("textOriginal"),
+        *(["text", F.lit(None).cast("string").alias("textOriginal")] if text else []),
         published.alias("publishedAt"),
         F.col("value").cast("bigint").alias("likeCount"),
         F.col("doc_id").alias("ord"),
