@@ -51,7 +51,9 @@ def comments(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
     ).withColumn("week", F.date_trunc("week", "ts"))
     rows = answered(rows, ["lang", "source", "week"], ["ts", "doc_id"], "user_id", "doc_id")
     if text:
-        rows = documents.select("doc_id", "text").repartition("doc_id").join(rows, "doc_id")
+        # Build on the narrow side: a broadcast of texts would leave all later text work to the few tasks
+        # that read the narrow rows.
+        rows = documents.select("doc_id", "text").repartition("doc_id").join(rows.hint("shuffle_hash"), "doc_id")
     published = F.col("ts") + F.make_interval(months=(F.col("doc_id") % MONTHS).cast("int"))
     return rows.select(
         F.col("lang").alias("gameLabel"),
