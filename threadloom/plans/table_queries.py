@@ -61,17 +61,23 @@ def tfidf_tokens(spark, sf):
 
 @query("tfidf_vocabulary", f"""{TERMS} SELECT "gameLabel", "videoId", term, df, n FROM vocab""")
 def tfidf_vocabulary(spark, sf):
-    rows = T.clean(spark, sf)
+    rows = texts(spark, sf)
     terms = K.doc_terms(rows, GROUP, "commentId", "textClean", Q.STOP_WORDS)
     return K.tfidf_vocabulary(terms, K.group_texts(rows, GROUP, "textClean"), GROUP)
 
 
 @query("tfidf_scores", f"""{TERMS} SELECT "gameLabel", "videoId", term, round(score, 6) AS score FROM scores""")
 def tfidf_scores(spark, sf):
-    scores = K.term_scores(T.clean(spark, sf), GROUP, "commentId", "textClean", Q.STOP_WORDS)
+    scores = K.term_scores(texts(spark, sf), GROUP, "commentId", "textClean", Q.STOP_WORDS)
     return scores.withColumn("score", F.round("score", 6))
 
 
+def texts(spark, sf):
+    """Clean comments as a table, as between the stages: vocabulary and scores both read them."""
+    columns = [*GROUP, "commentId", "textClean"]
+    return Scratch(spark, "texts").table(T.clean(spark, sf).select(*columns), "comments")
+
+
 def top_terms_sql(group: str) -> str:
     return f"""
 ranked AS (SELECT {group}, term, row_number() OVER (PARTITION BY {group} ORDER BY score DESC, term) AS place FROM scores),
@@ -83,7 +89,7 @@ lists AS (SELECT {group}, string_agg(term, ', ' ORDER BY place) AS top_terms FRO
 SELECT "gameLabel", "videoId", coalesce(top_terms, '') AS top_terms
 FROM (SELECT DISTINCT "gameLabel", "videoId" FROM comments) LEFT JOIN lists USING ("gameLabel", "videoId")""")
 def top_terms(spark, sf):
-    return K.top_terms(T.clean(spark, sf), GROUP, stop_words=Q.STOP_WORDS)
+    return K.top_terms(texts(spark, sf), GROUP, stop_words=Q.STOP_WORDS)
 
 
 # --- communities --------------------------------------------------------------------------------
