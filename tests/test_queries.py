@@ -9,7 +9,9 @@ import check
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
-SLOW = {"centrality_table", "network_summary", "display_subgraph", "communities"}  # loops covered by other queries
+# Loops that test_network.py compares with brute force.
+SLOW = {"centrality_table", "network_summary", "display_subgraph", "communities", "pagerank", "betweenness",
+        "connected_components", "top_communities_by_users"}
 
 
 @pytest.fixture(scope="module")
