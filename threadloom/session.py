@@ -43,16 +43,20 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     return builder.getOrCreate()
 
 
+_local_roots: list[str] = []  # the one temporary folder of this process, for a local master without a setting
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only for a local master without a setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="threadloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_roots:
+        _local_roots.append(tempfile.mkdtemp(prefix="threadloom-"))
+    return _local_roots[0]
 
 
 class Scratch:
@@ -74,7 +78,9 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        table._scratch_path = path  # known to ``release`` without listing the files
+        return table
 
     def measured(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """As ``table``, with aggregates observed while writing, so that a loop round is a single job."""
@@ -85,10 +91,20 @@ class Scratch:
 
     def release(self, *tables: DataFrame | None) -> None:
         """Drop tables of earlier loop rounds, which nothing reads any more."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         for table in tables:
-            for file in table.inputFiles() if table is not None else []:
-                folder = hadoop.Path(file).getParent()
-                folder.getFileSystem(conf).delete(folder, True)
-                break
+            if table is not None:
+                self.drop(table._scratch_path)
+
+    def drop(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+    def close(self) -> None:
+        """Drop all tables; only after every result built on them has been written."""
+        self.drop(self.base)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
