@@ -109,7 +109,7 @@ def choose(rows: pd.DataFrame, seed: int) -> tuple[np.ndarray, list[list[tuple[i
     pieces: list[list[tuple[int, int]]] = [[] for _ in range(len(rows))]
     if not total or not quota:
         return passes, pieces
-    passes += quota // blocks
+    passes[size > 0] = quota // blocks
     rest = quota % blocks
     if rest:
         shard = [seed, int(rows["_sid"].iloc[0]), int(rows["_shard"].iloc[0])]

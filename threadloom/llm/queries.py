@@ -150,10 +150,10 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination", """
 WITH w AS (
   SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
   UNION ALL
   SELECT 'i', item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') FROM benchmark),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') FROM benchmark),
 p AS (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5),
 s AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM p),
 n AS (SELECT id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY 1),
