@@ -31,8 +31,10 @@ MAGIC = b"S8BIDS01"
 HEAD = struct.Struct("<8sIIQIQIQ")
 SEGMENT_IDS = 1 << 18  # a segment closes at so many ids; a document is never split
 SEGMENTS_PER_FILE = 16
-CACHED_WORDS = 400_000  # per Python worker; the cache starts anew when full
-PUNCTUATION = b".,;:!?"
+CACHED_WORDS = 300_000  # per generation of a Python worker's cache
+WORD_END = "</w>"
+TOGETHER = 64  # unknown words per call: calls cost little, and long texts more for each word
+PUNCTUATION = b".,;:!?#$%&*()+-/=@[]^_{}~\"\\`"  # without the apostrophe, which can start a token, and < | >
 
 
 @lru_cache(maxsize=2)
@@ -43,16 +45,22 @@ def load_tokenizer(path: str):
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word with a cache.
+    """Ids of whole texts, word by word with a cache; words not in the cache go to the tokenizer together.
 
-    Right for tokenizers that drop white space, lower-case A-Z and never join characters across white space or
-    between a letter or digit and ASCII punctuation. ``probe`` checks this on the tokenizer before use; where
-    it fails, texts go to the tokenizer whole.
+    Right for tokenizers that drop white space, lower-case A-Z, mark word ends, and never join characters across
+    white space or between a letter or digit and ASCII punctuation. ``probe`` checks this on the tokenizer before
+    use; where it fails, texts go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.cache: dict[bytes, list[int]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.shared = list(range(max(vocabulary.values()) + 1))  # one object per id for all cached words
+        self.ends = [False] * len(self.shared)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith(WORD_END)
+        self.young: dict[bytes, tuple] = {}
+        self.old: dict[bytes, tuple] = {}  # the generation before; a word in use moves back to the young one
         self.by_word = self.probe()
 
     def plain(self, text: str) -> list[int]:
@@ -60,33 +68,62 @@ class WordEncoder:
 
     def probe(self) -> bool:
         text = "The CAT, sat!\n on\tThe Élan. x2; don't?? stop: 9."
-        return self.plain(text) == list(chain.from_iterable(
-            self.plain(p) for w in text.lower().split() for p in (w.rstrip(".,;:!?"), w[len(w.rstrip(".,;:!?")):]) if p))
-
-    def word(self, word: bytes) -> list[int]:
-        stem = word.rstrip(PUNCTUATION)
-        text = stem.decode()
-        if text and len(stem) < len(word) and (text[-1].isalpha() or text[-1] in "0123456789"):
-            return self.ids(stem) + self.ids(word[len(stem):])
-        return self.plain(word.decode())
-
-    def ids(self, word: bytes) -> list[int]:
-        found = self.cache.get(word)
+        parts = [p for w in text.lower().split() for p in (w.rstrip(".,;:!?"), w[len(w.rstrip(".,;:!?")):]) if p]
+        return self.plain(text) == list(chain.from_iterable(map(self.plain, parts)))
+
+    def keep(self, word: bytes, ids: tuple) -> tuple:
+        if len(word) <= 64:
+            if len(self.young) >= CACHED_WORDS:
+                self.young, self.old = {}, self.young
+            self.young[word] = ids
+        return ids
+
+    def ids(self, word: bytes) -> tuple:
+        found = self.young.get(word)
+        if found is not None:
+            return found
+        found = self.old.get(word)
         if found is None:
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
-            found = self.word(word)
-            if len(word) <= 64:
-                self.cache[word] = found
-        return found
-
-    def encode(self, text: bytes) -> list[int]:
+            stem = word.rstrip(PUNCTUATION)
+            text = stem.decode()
+            if text and len(stem) < len(word) and (text[-1].isalpha() or text[-1] in "0123456789"):
+                found = self.ids(stem) + self.ids(word[len(stem):])
+            else:
+                found = tuple(map(self.shared.__getitem__, self.plain(word.decode())))
+        return self.keep(word, found)
+
+    def learn(self, words: set[bytes]) -> None:
+        """Bring unknown words into the cache. Words of letters go to the tokenizer many at a time: their ids
+        part at word ends. If some word has several parts, all of that call are looked up one by one."""
+        old, young = self.old, self.young
+        stems = {w.rstrip(PUNCTUATION) for w in words if w not in old}
+        fresh = [s for s in stems if s not in young and s not in old and s.decode().isalpha()]
+        share = self.shared.__getitem__
+        for low in range(0, len(fresh), TOGETHER):
+            part = fresh[low: low + TOGETHER]
+            found = self.plain(b" ".join(part).decode())
+            stops = [i for i, token in enumerate(found, 1) if self.ends[token]]
+            if len(stops) == len(part):
+                found = list(map(share, found))
+                for word, a, b in zip(part, [0, *stops], stops):
+                    self.keep(word, tuple(found[a:b]))
+        for word in words:
+            self.ids(word)
+
+    def encode(self, texts: list[bytes]) -> list[list[int]]:
         if not self.by_word:
-            return self.plain(text.decode())
-        if b"<|" not in text:  # a special token's string is matched before lower-casing
-            text = text.translate(LOWER_BYTES)
-        get, ids = self.cache.get, self.ids
-        return list(chain.from_iterable([get(w) or ids(w) for w in text.split()]))
+            return [self.plain(t.decode()) for t in texts]
+        # A special token's string is matched before lower-casing.
+        split = [(t if b"<|" in t else t.translate(LOWER_BYTES)).split() for t in texts]
+        get = self.young.get
+        self.learn({w for words in split for w, found in zip(words, map(get, words)) if found is None})
+        get, out = self.young.get, []
+        for words in split:
+            found = list(map(get, words))
+            if None in found:
+                found = [self.ids(w) if x is None else x for w, x in zip(words, found, strict=True)]
+            out.append(list(chain.from_iterable(found)))
+        return out
 
 
 def pack_segment(part: int, before: int, doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
@@ -143,8 +180,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> No
             return pa.RecordBatch.from_pydict({"segment": pa.array([blob], pa.binary())})
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
-                found = encoder.encode(text)
+            texts = as_bytes(batch.column(1))
+            for doc, found in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
                 found.append(end_id)
                 doc_ids.append(doc)
                 lengths.append(len(found))
