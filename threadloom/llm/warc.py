@@ -2,7 +2,8 @@
 
 Writing: a page whose payload is long enough and equal to that of a page with a smaller id becomes a revisit
 record, which names the digest and the page it repeats; all others are responses. Every task writes its
-records as archive files of bounded size.
+records as archive files of bounded size; a record is a gzip member of its own, so that its offset and length
+in the archive are enough to read it.
 
 Index: each archive is read back record by record and gives a run of captures, sorted by (URL key, time,
 page id) and kept as a table. Ranges of that order, cut so that each holds a bounded number of captures even
@@ -12,7 +13,9 @@ So range after range, in order, is the globally ordered capture history.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -25,6 +28,7 @@ from threadloom.session import Scratch
 
 MIN_BYTES = 100  # smaller payloads are never revisits
 RECORDS_PER_FILE = 2000
+STEP = 1 << 14  # bytes handed to the decompressor at once
 RANGE_ROWS = 200_000  # captures per merge task
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -78,21 +82,33 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return VERSION + b"\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + payload
 
 
+def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, bytes) of every gzip member; the writer parts them by a line feed."""
+    view, at = memoryview(content), 0
+    while at < len(content):
+        reader, parts, end = zlib.decompressobj(zlib.MAX_WBITS | 16), [], at
+        while not reader.eof:
+            if end >= len(content):
+                raise ValueError(f"the record at byte {at} is cut off")
+            parts.append(reader.decompress(view[end: end + STEP]))
+            end = min(end + STEP, len(content))
+        end -= len(reader.unused_data)
+        yield at, end - at, b"".join(parts)
+        at = end + 1
+
+
 def records(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, headers, block) of every record of an archive."""
-    at = 0
-    while at < len(content):
-        stop = content.index(b"\r\n\r\n", at)
-        lines = content[at:stop].decode().split("\r\n")
+    for at, length, data in members(content):
+        stop = data.index(b"\r\n\r\n")
+        lines = data[:stop].decode().split("\r\n")
         if lines[0].encode() != VERSION:
             raise ValueError(f"no record at byte {at}")
         headers = dict(line.split(": ", 1) for line in lines[1:])
-        size = int(headers["Content-Length"])
-        end = stop + 4 + size
-        if content[end: end + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} does not end where its length says")
-        yield at, end + 4 - at, headers, content[stop + 4: end]
-        at = end + 5  # the writer adds a line feed to each record
+        block = data[stop + 4: -4]
+        if len(block) != int(headers["Content-Length"]) or data[-4:] != b"\r\n\r\n":
+            raise ValueError(f"the record at byte {at} does not end where its length says")
+        yield at, length, headers, block
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, per_file: int = RECORDS_PER_FILE) -> None:
@@ -104,7 +120,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, per_
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, urls, refs = (batch.column(i).to_pylist() for i in (0, 1, 3))
-            out = [record(i, u, h or b"", r) + b"\r\n\r\n" for i, u, h, r in
+            out = [gzip.compress(record(i, u, h or b"", r) + b"\r\n\r\n", mtime=0) for i, u, h, r in
                    zip(ids, urls, as_bytes(batch.column(2)), refs, strict=True)]
             yield pa.RecordBatch.from_pydict({"record": pa.array(out, pa.binary())})
 
