@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -137,3 +138,32 @@ def test_samples(rows):
     edges = rows([("g", "a", "b", 2), ("g", "c", "d", 2), ("g", "e", "f", 9), (None, "q", "r", 99)],
                  "gameLabel string, source string, target string, weight long")
     assert sorted(values(U.top_edges_per_group(edges, 2), "source")) == [("a",), ("e",)]
+
+
+def test_truncated_dump_raises(spark, tmp_path):
+    from threadloom.sources import tables
+
+    (tmp_path / "good.json").write_text('{"gameLabel": "g", "videos": []}')
+    (tmp_path / "bad.json").write_text('{"gameLabel": "g", "videos": [{"videoId": ')
+    with pytest.raises(Exception):
+        tables.raw_json_scan(spark, str(tmp_path)).collect()
+
+
+def test_method_layout_runs_twice(spark, tmp_path):
+    from threadloom.sources import tables
+
+    path = str(tmp_path / "scores")
+    for method in ("a", "b", "a"):
+        tables.write_by_method(spark.range(3), path, method)
+    assert tables.read_method(spark, path, "a").count() == 3 and tables.read_method(spark, path, "b").count() == 3
+
+
+def test_first_of_equal_positions_is_the_same_everywhere(spark):
+    from threadloom.operators import preprocess
+
+    rows = [("g", "c", "text", 0, "v", "t", None, f"user{i}") for i in range(6)]
+    schema = ("gameLabel string, commentId string, textClean string, ord bigint, videoId string, threadId string, "
+              "publishedAt timestamp, authorChannelId string")
+    for parts in (1, 4):
+        kept = preprocess.dedupe_comments(spark.createDataFrame(rows, schema).repartition(parts)).collect()
+        assert [r["authorChannelId"] for r in kept] == ["user0"]

@@ -22,7 +22,17 @@ VIDEO_COLUMNS = {
     "videoLikeCount": "likeCount",
     "videoCommentCount": "commentCount",
 }
-DEDUPE_KEY = ["gameLabel", "commentId", "textClean"]
+# Of rows with one position (two dumps of a game), these decide which is first.
+FIRST_BY = ["videoId", "threadId", "publishedAt", "authorChannelId"]
+
+
+def dedupe_key() -> list:
+    """Game, comment and a digest of the clean text: texts are too long for exchange and sort keys."""
+    return [F.col("gameLabel"), F.col("commentId"), F.md5(F.col("textClean").cast("binary")).alias("textDigest")]
+
+
+def first_order(df: DataFrame, order: str = "ord") -> list[str]:
+    return [order, *[name for name in FIRST_BY if name in df.columns]]
 
 
 def flatten_comments(docs: DataFrame) -> DataFrame:
@@ -75,7 +85,7 @@ def drop_empty_text(df: DataFrame) -> DataFrame:
 
 def dedupe_comments(df: DataFrame, order: list | None = None) -> DataFrame:
     """First row per game, comment id and clean text. Copies are cut before the exchange."""
-    return first_n(df, DEDUPE_KEY, order or ["ord"], 1)
+    return first_n(df, dedupe_key(), order or first_order(df), 1)
 
 
 def reply_filter(df: DataFrame) -> DataFrame:
@@ -112,11 +122,11 @@ def preprocess_summary(cleaned: DataFrame, order: str = "ord", games: DataFrame
     on the map side.
     """
     first = F.min_by(
-        F.struct("isTopLevel", "authorChannelId", "replyToAuthorChannelId", "videoId"), F.col(order)
+        F.struct("isTopLevel", "authorChannelId", "replyToAuthorChannelId", "videoId"), F.struct(*first_order(cleaned, order))
     ).alias("first")
     distinct = (
-        cleaned.groupBy(*DEDUPE_KEY).agg(F.count("*").alias("copies"), first)
-        .select(F.col("gameLabel").alias("game"), "copies", (F.col("textClean") != "").alias("kept"), "first.*")
+        cleaned.groupBy(*dedupe_key()).agg(F.count("*").alias("copies"), first, F.max(F.col("textClean") != "").alias("kept"))
+        .select(F.col("gameLabel").alias("game"), "copies", "kept", "first.*")
     )
     kept = F.col("kept")
     top = C.is_top_level(F.col("isTopLevel"))

@@ -64,7 +64,12 @@ def method_layout(spark, sf):
 SELECT game, node AS id, NULL AS target, NULL::BIGINT AS weight FROM verts
 UNION ALL SELECT "gameLabel", source, target, weight FROM edges""")
 def graph_export(spark, sf):
-    nodes, links = T.graph_export(P.reply_edges(V.reply_events(spark, sf)))
+    path = Scratch(spark, "export").path("graph")
+    T.write_graph(P.reply_edges(V.reply_events(spark, sf)), path)
+    nodes = spark.read.parquet(f"{path}/nodes").withColumn("game", F.col("game").cast("string"))
+    links = spark.read.parquet(f"{path}/edges").select(
+        F.col("game").cast("string").alias("game"), "source", "target", "weight"
+    )
     none = F.lit(None)
     nodes = nodes.select("game", "id", none.cast("string").alias("target"), none.cast("bigint").alias("weight"))
     return nodes.union(links)
@@ -305,10 +310,11 @@ def preprocess_summary(spark, sf):
 
 
 @query("union_games", f"""{Q.with_(Q.EVENTS, Q.edges("revents"))}
-SELECT * FROM edges WHERE "gameLabel" IN ('click', 'view')""")
+SELECT * FROM edges""")
 def union_games(spark, sf):
     rows = V.reply_events(spark, sf)
-    games = [rows.filter(F.col("gameLabel") == game) for game in ("click", "view")]
+    games = [r[0] for r in rows.select("gameLabel").distinct().orderBy("gameLabel").collect()]  # one table per game
+    games = [rows.filter(F.col("gameLabel").eqNullSafe(F.lit(game))) for game in games]
     return P.reply_edges(P.union_games(games))
 
 

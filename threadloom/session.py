@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash instead of sort joins where the measured partitions are small enough.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # This rule of Spark 4.1 takes unions of bucketed tables for partitioned and leaves out a needed exchange.
+    "spark.sql.unionOutputPartitioning": "false",
     # Loop state is small in bytes but expands in the next join: do not pack its files into few tasks.
     "spark.sql.files.openCostInBytes": "524288",
 }

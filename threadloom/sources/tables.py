@@ -10,12 +10,13 @@ from threadloom.schemas import DUMP
 
 
 def raw_json_scan(spark: SparkSession, path: str | list[str], one_per_line: bool = False) -> DataFrame:
-    """Nested dumps with a declared schema.
+    """Nested dumps with a declared schema. A malformed dump or value stops the run instead of vanishing.
 
     A pretty-printed document is one unit of work; ``one_per_line`` reads the splittable layout with one
     document, or one video in a document, per line.
     """
-    docs = spark.read.schema(DUMP).option("multiLine", not one_per_line).json(path)
+    reader = spark.read.schema(DUMP).option("mode", "FAILFAST").option("multiLine", not one_per_line)
+    docs = reader.json(path)
     return docs.withColumn("videos", F.coalesce("videos", F.array().cast(DUMP["videos"].dataType)))
 
 
@@ -39,7 +40,7 @@ def table_scan(
             raise ValueError("a CSV scan needs a declared schema")
         df = (
             spark.read.schema(schema)
-            .option("header", True).option("multiLine", True).option("escape", '"')
+            .option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
             .csv(path)
         )
     else:
@@ -57,8 +58,9 @@ def table_sink(df: DataFrame, path: str, fmt: str = "parquet", partition_by: lis
 
 
 def write_by_method(df: DataFrame, path: str, method: str) -> None:
-    """One table for all scoring methods, one folder per method."""
-    df.withColumn("method", F.lit(method)).write.mode("append").partitionBy("method").parquet(path)
+    """One table for all scoring methods, one folder per method; a second run replaces the method's rows."""
+    (df.withColumn("method", F.lit(method)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("method").parquet(path))
 
 
 def read_method(spark: SparkSession, path: str, method: str) -> DataFrame:
