@@ -52,7 +52,7 @@ def as_bytes(column) -> list:
     """An Arrow string column as a list of ``bytes`` (``None`` for null) without decoding."""
     import pyarrow as pa
 
-    return column.cast(pa.binary()).to_pylist()
+    return column.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def write_blobs(df: DataFrame, column: str, path: str, rows_per_file: int) -> None:

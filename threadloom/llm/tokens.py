@@ -13,14 +13,15 @@ the ids of earlier partitions (one number per partition) plus the ids before it
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,89 +42,96 @@ PUNCTUATION = b".,;:!?#$%&*()+-/=@[]^_{}~\"\\`"  # without the apostrophe, which
 def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     return Tokenizer.from_file(path)
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word with a cache; words not in the cache go to the tokenizer together.
+    """Ids of whole texts. A batch is split into words by Arrow, its distinct words are looked up in a cache, and
+    the ids of all words are gathered by numpy. Words not in the cache go to the tokenizer together.
 
     Right for tokenizers that drop white space, lower-case A-Z, mark word ends, and never join characters across
     white space or between a letter or digit and ASCII punctuation. ``probe`` checks this on the tokenizer before
-    use; where it fails, texts go to the tokenizer whole.
+    use; where it fails, texts go to the tokenizer whole. The cache holds ids as little-endian 32-bit bytes.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.shared = list(range(max(vocabulary.values()) + 1))  # one object per id for all cached words
-        self.ends = [False] * len(self.shared)
-        for token, i in vocabulary.items():
-            self.ends[i] = token.endswith(WORD_END)
-        self.young: dict[bytes, tuple] = {}
-        self.old: dict[bytes, tuple] = {}  # the generation before; a word in use moves back to the young one
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}  # the generation before; a word in use moves back to the young one
         self.by_word = self.probe()
 
-    def plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def plain(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def probe(self) -> bool:
         text = "The CAT, sat!\n on\tThe Élan. x2; don't?? stop: 9."
         parts = [p for w in text.lower().split() for p in (w.rstrip(".,;:!?"), w[len(w.rstrip(".,;:!?")):]) if p]
-        return self.plain(text) == list(chain.from_iterable(map(self.plain, parts)))
+        whole, *pieces = self.plain([text, *parts])
+        return np.array_equal(whole, np.concatenate(pieces))
 
-    def keep(self, word: bytes, ids: tuple) -> tuple:
+    def keep(self, word: bytes, ids: bytes) -> bytes:
         if len(word) <= 64:
             if len(self.young) >= CACHED_WORDS:
                 self.young, self.old = {}, self.young
             self.young[word] = ids
         return ids
 
-    def ids(self, word: bytes) -> tuple:
+    def ids(self, word: bytes) -> bytes:
         found = self.young.get(word)
         if found is not None:
             return found
         found = self.old.get(word)
         if found is None:
             stem = word.rstrip(PUNCTUATION)
-            text = stem.decode()
-            if text and len(stem) < len(word) and (text[-1].isalpha() or text[-1] in "0123456789"):
+            last = stem[-4:].decode(errors="ignore")[-1:]
+            if len(stem) < len(word) and (last.isalpha() or last in tuple("0123456789")):
                 found = self.ids(stem) + self.ids(word[len(stem):])
             else:
-                found = tuple(map(self.shared.__getitem__, self.plain(word.decode())))
+                found = self.plain([word.decode()])[0].tobytes()
         return self.keep(word, found)
 
-    def learn(self, words: set[bytes]) -> None:
-        """Bring unknown words into the cache. Words of letters go to the tokenizer many at a time: their ids
-        part at word ends. If some word has several parts, all of that call are looked up one by one."""
+    def learn(self, words: list[bytes]) -> None:
+        """Bring unknown words of letters into the cache. They go to the tokenizer many at a time: their ids part
+        at word ends. Where some word has several parts, all of that call are left to ``ids``."""
         old, young = self.old, self.young
         stems = {w.rstrip(PUNCTUATION) for w in words if w not in old}
         fresh = [s for s in stems if s not in young and s not in old and s.decode().isalpha()]
-        share = self.shared.__getitem__
-        for low in range(0, len(fresh), TOGETHER):
-            part = fresh[low: low + TOGETHER]
-            found = self.plain(b" ".join(part).decode())
-            stops = [i for i, token in enumerate(found, 1) if self.ends[token]]
-            if len(stops) == len(part):
-                found = list(map(share, found))
-                for word, a, b in zip(part, [0, *stops], stops):
-                    self.keep(word, tuple(found[a:b]))
-        for word in words:
-            self.ids(word)
-
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
+        groups = [fresh[low: low + TOGETHER] for low in range(0, len(fresh), TOGETHER)]
+        for group, found in zip(groups, self.plain([b" ".join(g).decode() for g in groups]), strict=True):
+            stops = np.flatnonzero(self.ends[found]) + 1
+            if len(stops) == len(group):
+                flat, stops = found.tobytes(), (4 * stops).tolist()
+                for word, a, b in zip(group, [0, *stops], stops):
+                    self.keep(word, flat[a:b])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes): the ids of all texts behind each other, and the number of ids of each text."""
         if not self.by_word:
-            return [self.plain(t.decode()) for t in texts]
+            found = self.plain(texts.to_pylist())
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64)
         # A special token's string is matched before lower-casing.
-        split = [(t if b"<|" in t else t.translate(LOWER_BYTES)).split() for t in texts]
-        get = self.young.get
-        self.learn({w for words in split for w, found in zip(words, map(get, words)) if found is None})
-        get, out = self.young.get, []
-        for words in split:
-            found = list(map(get, words))
-            if None in found:
-                found = [self.ids(w) if x is None else x for w, x in zip(words, found, strict=True)]
-            out.append(list(chain.from_iterable(found)))
-        return out
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)  # may give empty words, which have no ids
+        coded = split.flatten().dictionary_encode()
+        words = as_bytes(coded.dictionary)
+        found = list(map(self.young.get, words))
+        if None in found:
+            self.learn([w for w, x in zip(words, found, strict=True) if x is None])
+            found = list(map(self.young.get, words))
+            found = [self.ids(w) if x is None else x for w, x in zip(words, found, strict=True)]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        n = size[word]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
+        ids = flat[np.arange(ends[-1]) + np.repeat(start[word] - ends[:-1], n)]
+        last = np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)
+        return ids, np.diff(ends[last], prepend=0)
 
 
 def pack_segment(part: int, before: int, doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
@@ -175,18 +183,18 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> No
         before, doc_ids, lengths, ids, held = 0, [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            flat = np.fromiter(chain.from_iterable(ids), np.uint64, held)
-            blob = pack_segment(part, before, doc_ids, lengths, flat)
+            blob = pack_segment(part, before, doc_ids, lengths, np.concatenate(ids))
             return pa.RecordBatch.from_pydict({"segment": pa.array([blob], pa.binary())})
 
         for batch in batches:
-            texts = as_bytes(batch.column(1))
-            for doc, found in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                found.append(end_id)
+            found, sizes = encoder.encode(batch.column(1))
+            found = np.insert(found, np.cumsum(sizes), end_id)
+            ends = np.cumsum(sizes + 1).tolist()
+            for doc, low, high in zip(batch.column(0).to_pylist(), [0, *ends], ends):
                 doc_ids.append(doc)
-                lengths.append(len(found))
-                ids.append(found)
-                held += len(found)
+                lengths.append(high - low)
+                ids.append(found[low:high])
+                held += high - low
                 if held >= SEGMENT_IDS:
                     yield close()
                     before, doc_ids, lengths, ids, held = before + held, [], [], [], 0
