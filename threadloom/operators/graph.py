@@ -17,8 +17,9 @@ from threadloom.labels import HIGH, PERIPHERAL
 from threadloom.session import Scratch
 
 BROADCAST_GAMES = 100_000  # per-game tables up to this many rows are sent to all executors
-HUB_ROWS = 200_000  # a vertex with fewer arcs is never split
-HUB_SHARE = 1_000  # a hub holds more than 1/1000 of all arcs, hence there are at most 1000 of them
+HUB_ROWS = 200_000  # a vertex with more arcs is cut into slices of about this size
+BROADCAST_HUBS = 500_000  # so many rows of (vertex, slices) are sent to all executors; more are joined by hash
+BLOCK = 2_000  # links of one vertex that meet as many others of it in one join key
 ROWS_PER_PARTITION = 2_000_000
 
 
@@ -112,12 +113,13 @@ class Adjacency:
 
     def __init__(self, arcs: DataFrame, scratch: Scratch, hub_rows: int = HUB_ROWS):
         total = arcs.count()
-        limit = max(hub_rows, total // HUB_SHARE)
         self.hubs = None
-        if total > limit:
-            degree = arcs.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-            hubs = scratch.table(degree.select("src", F.ceil(F.col("n") / limit).cast("int").alias("slices")), "hubs")
-            self.hubs = None if hubs.isEmpty() else F.broadcast(hubs)  # at most HUB_SHARE rows
+        if total > hub_rows:
+            degree = arcs.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > hub_rows)
+            slices = F.ceil(F.col("n") / hub_rows).cast("int").alias("slices")
+            hubs, seen = scratch.measured(degree.select("src", slices), "hubs", n=F.count(F.lit(1)))
+            if seen["n"]:
+                self.hubs = F.broadcast(hubs) if seen["n"] <= BROADCAST_HUBS else hubs
         self.keys = ["src"]
         if self.hubs is not None:
             self.keys = ["src", "slice"]
@@ -210,11 +212,12 @@ def reciprocity(graph: ReplyGraph) -> DataFrame:
     return rows.groupBy("game").agg(share.alias("reciprocity"))
 
 
-def local_clustering(graph: ReplyGraph) -> DataFrame:
+def local_clustering(graph: ReplyGraph, block: int = BLOCK) -> DataFrame:
     """Weighted local clustering per vertex with a triangle: cube root of the three scaled weights, summed.
 
     Links point from the vertex of lower degree to the one of higher degree, so that a vertex of any degree
-    starts at most sqrt(2m) of them, and the pairs of links with a common start stay few.
+    starts at most sqrt(2m) of them, and the pairs of links with a common start stay few. A vertex with more
+    than ``block`` such links meets itself in pairs of blocks, so no join key makes more than about block² rows.
     """
     degree = undirected_degrees(graph).select("vid", "degree")
     at_u = degree.select(F.col("vid").alias("u"), F.col("degree").alias("du"))
@@ -229,10 +232,22 @@ def local_clustering(graph: ReplyGraph) -> DataFrame:
     )
     one = out.select("a", F.col("b").alias("x"), F.col("weight").alias("w1"))
     two = out.select("a", F.col("b").alias("y"), F.col("weight").alias("w2"))
+    keys = ["a"]
+    wide = out.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > block)
+    wide, seen = graph.scratch.measured(
+        wide.select("a", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "wide", n=F.count(F.lit(1))
+    )
+    if seen["n"]:
+        keys = ["a", "i", "j"]
+        blocks = F.coalesce("blocks", F.lit(1))
+        every = F.explode(F.sequence(F.lit(0), blocks - 1))
+        one = one.join(wide, "a", "left").withColumn("i", F.pmod(F.xxhash64("x"), blocks).cast("int")).withColumn("j", every)
+        two = two.join(wide, "a", "left").withColumn("j", F.pmod(F.xxhash64("y"), blocks).cast("int")).withColumn("i", every)
+        one, two = one.drop("blocks"), two.drop("blocks")
     closing = out.select(
         F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.col("weight").alias("w3")
     )
-    triangles = one.join(two, "a").filter(F.col("x") < F.col("y")).join(closing, ["x", "y"])
+    triangles = one.join(two, keys).filter(F.col("x") < F.col("y")).join(closing, ["x", "y"])
     corners = triangles.select(
         F.explode(F.array("a", "x", "y")).alias("vid"),
         F.cbrt(F.col("w1").cast("double") * F.col("w2") * F.col("w3")).alias("t"),
@@ -288,15 +303,18 @@ def network_summary(graph: ReplyGraph, components: DataFrame, partition: DataFra
     return table
 
 
-def centrality_table(graph: ReplyGraph, partition: DataFrame, pagerank: DataFrame, betweenness: DataFrame) -> DataFrame:
-    """One row per (game, user)."""
+def centrality_table(
+    graph: ReplyGraph, partition: DataFrame, pagerank: DataFrame, betweenness: DataFrame | None = None
+) -> DataFrame:
+    """One row per (game, user). Without ``betweenness`` its column is left out."""
     table = graph.vertices
     for part in (partition, weighted_degrees(graph), pagerank, betweenness):
-        table = table.join(part, "vid", "left")
+        table = table if part is None else table.join(part, "vid", "left")
+    measures = ["pagerank"] if betweenness is None else ["pagerank", "betweenness"]
     return table.select(
         "game", F.col("node").alias("authorChannelId"), F.col("community").cast("int").alias("community_id"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("weighted_degree", "in_degree", "out_degree")],
-        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("pagerank", "betweenness")],
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in measures],
     )
 
 

@@ -32,7 +32,8 @@ def raw_json_scan(spark, sf):
     path = Scratch(spark, "dump").path("json")
     V.raw_dump(spark, sf).write.json(path)
     docs = T.raw_json_scan(spark, path, one_per_line=True)
-    comments = F.size(F.col("videos")[0]["comments"]).cast("bigint")
+    sizes = F.transform("videos", lambda v: F.size(v["comments"]))
+    comments = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, n: total + n)
     return docs.groupBy("gameLabel").agg(F.count("*").alias("docs"), F.sum(comments).alias("comments"))
 
 

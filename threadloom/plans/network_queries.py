@@ -14,7 +14,9 @@ from threadloom.plans.registry import query
 from threadloom.sources import star_views as V
 
 BASE = (Q.EVENTS, Q.edges("revents"), Q.GRAPH)
-RANK_ROUNDS = 10
+# Unrolled rounds of the SQL twins; those after the end of a loop change nothing.
+RANK_ROUNDS = 50
+MERGE_ROUNDS = 14
 HOPS = 12  # more than any shortest path of the test graphs has
 
 
@@ -27,6 +29,17 @@ def given_partition(graph):
     return graph.vertices.select("vid", (F.substring("node", 2, 20).cast("bigint") % 7).alias("community"))
 
 
+def found_partition(graph):
+    """The graph's communities as a table: several measures read them."""
+    return graph.scratch.table(K.communities(graph), "communities")
+
+
+def measured_users(graph, betweenness=True):
+    """The centrality table from the loops themselves."""
+    between = W.betweenness(graph) if betweenness else None
+    return G.centrality_table(graph, found_partition(graph), W.pagerank(graph), between)
+
+
 def rounded(df, *columns, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -55,23 +68,25 @@ def weighted_degrees(spark, sf):
 def rank_sql() -> str:
     parts = ["""outs AS (SELECT "gameLabel" AS game, source AS node, sum(weight) AS o FROM edges GROUP BY ALL)""",
              "counts AS (SELECT game, count(*) AS n FROM verts GROUP BY ALL)",
-             "r0 AS MATERIALIZED (SELECT game, node, 1.0::DOUBLE / n AS r FROM verts JOIN counts USING (game))"]
+             "r0 AS MATERIALIZED (SELECT game, node, 1.0::DOUBLE / n AS r, 1.0::DOUBLE AS moved FROM verts JOIN counts USING (game))"]
     for i in range(1, RANK_ROUNDS + 1):
         parts.append(f"""
 got{i} AS (SELECT e."gameLabel" AS game, e.target AS node, sum(r * weight / o) AS g FROM edges e
            JOIN r{i - 1} p ON p.game = e."gameLabel" AND p.node = e.source
            JOIN outs q ON q.game = e."gameLabel" AND q.node = e.source GROUP BY ALL),
-sunk{i} AS (SELECT p.game, sum(CASE WHEN o IS NULL THEN r ELSE 0 END) AS s FROM r{i - 1} p LEFT JOIN outs USING (game, node)
-            GROUP BY ALL),
-r{i} AS MATERIALIZED (SELECT game, node, {1 - W.DAMPING:.2f} / n + {W.DAMPING} * (coalesce(g, 0) + s / n) AS r
-  FROM verts JOIN counts USING (game) JOIN sunk{i} USING (game) LEFT JOIN got{i} USING (game, node))""")
+sunk{i} AS (SELECT p.game, sum(CASE WHEN o IS NULL THEN r ELSE 0 END) AS s, sum(moved) AS gap
+            FROM r{i - 1} p LEFT JOIN outs USING (game, node) GROUP BY ALL),
+r{i} AS MATERIALIZED (SELECT game, node, new AS r, abs(new - old) AS moved FROM (
+  SELECT game, node, r AS old, CASE WHEN gap < n * {W.TOLERANCE} THEN r
+    ELSE {1 - W.DAMPING:.2f} / n + {W.DAMPING} * (coalesce(g, 0) + s / n) END AS new
+  FROM r{i - 1} JOIN counts USING (game) JOIN sunk{i} USING (game) LEFT JOIN got{i} USING (game, node)))""")
     return ",\n".join(parts)
 
 
 @query("pagerank", f"{Q.with_(*BASE, rank_sql())} SELECT game, node, round(r, 6) AS pagerank FROM r{RANK_ROUNDS}")
 def pagerank(spark, sf):
     graph = events_graph(spark, sf)
-    return rounded(graph.named(W.pagerank(graph, fixed_rounds=RANK_ROUNDS)), "pagerank")
+    return rounded(graph.named(W.pagerank(graph)), "pagerank")
 
 
 def paths_sql() -> str:
@@ -153,7 +168,62 @@ modu AS (
         JOIN part p ON p.game = k.game AND p.node = k.u JOIN part q ON q.game = k.game AND q.node = k.v GROUP BY ALL) i
   USING (game, community) GROUP BY ALL
 )"""
-SIZED = Q.with_(*BASE, SIZES)
+SIZED = Q.with_(*BASE, Q.PART, SIZES)
+
+
+def communities_sql() -> str:
+    """The agglomeration round by round on names; ``part`` holds the numbered communities."""
+    parts = ["""
+w2 AS (SELECT game, CAST(sum(strength) AS BIGINT) AS w2 FROM udeg GROUP BY ALL),
+draws AS MATERIALIZED (SELECT DISTINCT node AS id, CAST('0x' || substr(md5(node), 1, 7) AS BIGINT) AS draw FROM verts),
+alone AS (SELECT game, src AS node, min(dst) AS near FROM both_ways GROUP BY ALL HAVING count(*) = 1),
+cp0 AS MATERIALIZED (
+  SELECT v.game, v.node, CASE WHEN o.near IS NULL THEN v.node WHEN n.degree = 1 THEN least(v.node, o.near) ELSE o.near END AS id
+  FROM verts v LEFT JOIN alone o ON o.game = v.game AND o.node = v.node
+  LEFT JOIN udeg n ON n.game = v.game AND n.node = o.near),
+cg0 AS MATERIALIZED (SELECT p.game, p.id, CAST(coalesce(sum(strength), 0) AS BIGINT) AS d FROM cp0 p
+  LEFT JOIN udeg u ON u.game = p.game AND u.node = p.node GROUP BY ALL),
+cl0 AS MATERIALIZED (SELECT k.game, least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, CAST(sum(weight) AS BIGINT) AS weight
+  FROM links k JOIN cp0 x ON x.game = k.game AND x.node = k.u JOIN cp0 y ON y.game = k.game AND y.node = k.v
+  WHERE x.id <> y.id GROUP BY ALL)"""]
+    for i in range(MERGE_ROUNDS):
+        parts.append(f"""
+cand{i} AS MATERIALIZED (
+  SELECT l.game, l.a, l.b, w2 * weight AS reward, w2 * weight - x.d * y.d AS gain, x.d AS da, y.d AS db,
+         (p.draw + q.draw) * {K.turn_factor(i)} % {K.PRIME} AS turn
+  FROM cl{i} l JOIN w2 ON w2.game = l.game JOIN cg{i} x ON x.game = l.game AND x.id = l.a
+  JOIN cg{i} y ON y.game = l.game AND y.id = l.b JOIN draws p ON p.id = l.a JOIN draws q ON q.id = l.b
+  WHERE w2 * weight > x.d * y.d),
+pick{i} AS MATERIALIZED (
+  SELECT game, id, pick, reward, d FROM (
+    SELECT game, a AS id, b AS pick, reward, da AS d, gain, turn, a, b FROM cand{i}
+    UNION ALL SELECT game, b, a, reward, db, gain, turn, a, b FROM cand{i})
+  QUALIFY row_number() OVER (PARTITION BY game, id ORDER BY gain DESC, turn, a, b) = 1),
+pair{i} AS MATERIALIZED (
+  SELECT x.game, x.id, least(x.id, x.pick) AS head, x.d + y.d AS core FROM pick{i} x
+  JOIN pick{i} y ON y.game = x.game AND y.id = x.pick AND y.pick = x.id),
+suit{i} AS (
+  SELECT s.*, h.head, h.core, sum(s.d) OVER (PARTITION BY s.game, h.head) AS crowd FROM pick{i} s
+  JOIN pair{i} h ON h.game = s.game AND h.id = s.pick LEFT JOIN pair{i} z ON z.game = s.game AND z.id = s.id
+  WHERE z.id IS NULL),
+move{i} AS MATERIALIZED (
+  SELECT game, id AS was, head AS now FROM pair{i} WHERE id <> head
+  UNION ALL SELECT game, id, head FROM suit{i} WHERE 2 * reward > d * (2 * core + crowd - d)),
+cg{i + 1} AS MATERIALIZED (SELECT g.game, coalesce(m.now, g.id) AS id, CAST(sum(g.d) AS BIGINT) AS d FROM cg{i} g
+  LEFT JOIN move{i} m ON m.game = g.game AND m.was = g.id GROUP BY ALL),
+cp{i + 1} AS MATERIALIZED (SELECT p.game, p.node, coalesce(m.now, p.id) AS id FROM cp{i} p
+  LEFT JOIN move{i} m ON m.game = p.game AND m.was = p.id),
+cl{i + 1} AS MATERIALIZED (
+  SELECT game, least(a, b) AS a, greatest(a, b) AS b, CAST(sum(weight) AS BIGINT) AS weight FROM (
+    SELECT l.game, coalesce(m.now, l.a) AS a, coalesce(n.now, l.b) AS b, weight FROM cl{i} l
+    LEFT JOIN move{i} m ON m.game = l.game AND m.was = l.a LEFT JOIN move{i} n ON n.game = l.game AND n.was = l.b)
+  WHERE a <> b GROUP BY ALL)""")
+    parts.append(f"""
+part AS MATERIALIZED (
+  SELECT game, node, CAST(number AS INTEGER) AS community FROM cp{MERGE_ROUNDS} JOIN (
+    SELECT game, id, row_number() OVER (PARTITION BY game ORDER BY count(*) DESC, min(node)) - 1 AS number
+    FROM cp{MERGE_ROUNDS} GROUP BY game, id) USING (game, id))""")
+    return ",".join(parts)
 
 
 @query("graph_density", f"{SIZED} SELECT * FROM dens")
@@ -176,7 +246,7 @@ def reciprocity(spark, sf):
     return G.reciprocity(events_graph(spark, sf))
 
 
-@query("communities")
+@query("communities", f"{Q.with_(*BASE, communities_sql())} SELECT game, node, CAST(community AS BIGINT) AS community FROM part")
 def communities(spark, sf):
     graph = events_graph(spark, sf)
     return graph.named(K.communities(graph))
@@ -188,28 +258,27 @@ def modularity(spark, sf):
     return G.modularity(graph, given_partition(graph))
 
 
-@query("network_summary", f"""{Q.with_(*COMMENTS_GRAPH, REACH, SIZES, recursive=True)}
+@query("network_summary", f"""{Q.with_(*COMMENTS_GRAPH, REACH, communities_sql(), SIZES, recursive=True)}
 SELECT * FROM dens JOIN avgd USING (game) JOIN clus USING (game) JOIN recip USING (game) JOIN modu USING (game)
 JOIN (SELECT game, count(*) AS components, max(n) AS largest_component_size FROM (
         SELECT game, component, count(*) AS n FROM comp GROUP BY ALL) GROUP BY ALL) USING (game)
 JOIN (SELECT game, count(DISTINCT community) AS communities FROM part GROUP BY ALL) USING (game)""")
 def network_summary(spark, sf):
     graph = comments_graph(spark, sf)
-    return G.network_summary(graph, W.connected_components(graph), given_partition(graph))
+    return G.network_summary(graph, W.connected_components(graph), found_partition(graph))
 
 
-@query("centrality_table", f"""{Q.with_(*BASE, rank_sql(), paths_sql())}
+@query("centrality_table", f"""{Q.with_(*BASE, communities_sql(), rank_sql(), paths_sql())}
 SELECT game, node AS "authorChannelId", community AS community_id, weighted_degree, in_degree, out_degree,
        round(r, 6) AS pagerank, round(b, 6) AS betweenness
 FROM verts JOIN part USING (game, node) JOIN wdeg USING (game, node) JOIN r{RANK_ROUNDS} USING (game, node)
 JOIN betw USING (game, node)""")
 def centrality_table(spark, sf):
     graph = events_graph(spark, sf)
-    rank, between = W.pagerank(graph, fixed_rounds=RANK_ROUNDS), W.betweenness(graph)
-    return rounded(G.centrality_table(graph, given_partition(graph), rank, between), "pagerank", "betweenness")
+    return rounded(measured_users(graph), "pagerank", "betweenness")
 
 
-@query("community_sizes", f"""{Q.with_(*BASE)}
+@query("community_sizes", f"""{Q.with_(*BASE, Q.PART)}
 SELECT game, community AS community_id, count(*) AS users, CAST(sum(strength) AS BIGINT) AS weighted_degree_sum
 FROM part JOIN udeg USING (game, node) GROUP BY ALL""")
 def community_sizes(spark, sf):
@@ -217,7 +286,7 @@ def community_sizes(spark, sf):
     return G.community_sizes(graph, given_partition(graph))
 
 
-@query("comment_community", f"""{Q.with_(*COMMENTS_GRAPH)}
+@query("comment_community", f"""{Q.with_(*COMMENTS_GRAPH, Q.PART)}
 SELECT "commentId", community AS community_id FROM comments
 LEFT JOIN part ON game = "gameLabel" AND node = "authorChannelId" """)
 def comment_community(spark, sf):
@@ -228,47 +297,41 @@ def comment_community(spark, sf):
     return G.comment_community(V.comments(spark, sf, text=False), members).select("commentId", "community_id")
 
 
-def simple_centrality(graph):
-    """The centrality table without loops: a share of the degree stands in for PageRank."""
-    degrees = G.weighted_degrees(graph)
-    rank = degrees.select("vid", (F.col("weighted_degree") / 1000.0).alias("pagerank"))
-    table = G.centrality_table(graph, given_partition(graph), rank, rank.select("vid", F.lit(0.0).alias("betweenness")))
-    return G.centrality_group(table, graph.games)
+CENTRAL_GROUP = """CASE WHEN weighted_degree >= quantile_cont(weighted_degree, 0.9) OVER (PARTITION BY game)
+              THEN 'High centrality' ELSE 'Peripheral' END AS centrality_group"""
+CENTRAL = f"""
+central AS (SELECT w.*, r AS pagerank, {CENTRAL_GROUP} FROM wdeg w JOIN r{RANK_ROUNDS} USING (game, node))"""
 
 
-CENTRAL = """
-central AS (
-  SELECT w.*, weighted_degree / 1000.0::DOUBLE AS pagerank, 0.0::DOUBLE AS betweenness,
-         CASE WHEN weighted_degree >= quantile_cont(weighted_degree, 0.9) OVER (PARTITION BY game)
-              THEN 'High centrality' ELSE 'Peripheral' END AS centrality_group FROM wdeg w
-)"""
-
-
-@query("centrality_group", f"""{Q.with_(*BASE, CENTRAL)}
-SELECT game, node AS "authorChannelId", weighted_degree, centrality_group FROM central""")
+@query("centrality_group", f"""{Q.with_(*BASE)}
+SELECT game, node AS "authorChannelId", weighted_degree, {CENTRAL_GROUP} FROM wdeg""")
 def centrality_group(spark, sf):
-    return simple_centrality(events_graph(spark, sf)).select(
-        "game", "authorChannelId", "weighted_degree", "centrality_group"
-    )
+    graph = events_graph(spark, sf)
+    degrees = graph.named(G.weighted_degrees(graph)).withColumnRenamed("node", "authorChannelId")
+    return G.centrality_group(degrees, graph.games).select("game", "authorChannelId", "weighted_degree", "centrality_group")
 
 
-@query("network_enrich", f"""{Q.with_(*COMMENTS_GRAPH, CENTRAL)}
-SELECT "commentId", weighted_degree, in_degree, out_degree, pagerank, betweenness, centrality_group
-FROM comments LEFT JOIN central ON game = "gameLabel" AND node = "authorChannelId" """)
+@query("network_enrich", f"""{Q.with_(*COMMENTS_GRAPH, communities_sql(), rank_sql(), paths_sql(), CENTRAL)}
+SELECT "commentId", community AS community_id, weighted_degree, in_degree, out_degree, round(pagerank, 6) AS pagerank,
+       round(b, 6) AS betweenness, centrality_group
+FROM comments LEFT JOIN (SELECT * FROM central JOIN part USING (game, node) JOIN betw USING (game, node))
+ON game = "gameLabel" AND node = "authorChannelId" """)
 def network_enrich(spark, sf):
-    central = simple_centrality(comments_graph(spark, sf))
+    graph = comments_graph(spark, sf)
+    central = G.centrality_group(rounded(measured_users(graph), "pagerank", "betweenness"), graph.games)
     return G.network_enrich(V.comments(spark, sf, text=False), central).select(
-        "commentId", "weighted_degree", "in_degree", "out_degree", "pagerank", "betweenness", "centrality_group"
+        "commentId", "community_id", "weighted_degree", "in_degree", "out_degree", "pagerank", "betweenness",
+        "centrality_group",
     )
 
 
-@query("top_communities", f"""{Q.with_(*BASE)}
+@query("top_communities", f"""{Q.with_(*BASE, Q.PART)}
 SELECT *, game || ' C' || community_id AS label FROM (
   SELECT game, community AS community_id, count(*) AS users, CAST(sum(strength) AS BIGINT) AS weighted_degree_sum
   FROM part JOIN udeg USING (game, node) GROUP BY ALL)
-QUALIFY row_number() OVER (PARTITION BY game ORDER BY users DESC, community_id) <= 5""")
+QUALIFY row_number() OVER (PARTITION BY game ORDER BY users DESC, community_id) <= 10""")
 def top_communities(spark, sf):
-    return D.top_groups(community_sizes(spark, sf), "game", "users", "community_id", 5)
+    return D.top_groups(community_sizes(spark, sf), "game", "users", "community_id", 10)
 
 
 @query("display_subgraph", f"""{Q.with_(*COMMENTS_GRAPH, REACH, '''

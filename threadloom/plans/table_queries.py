@@ -94,7 +94,7 @@ def top_terms(spark, sf):
 
 # --- communities --------------------------------------------------------------------------------
 
-ENRICHED = Q.with_(Q.COMMENTS, Q.SCORED, Q.edges("comments"), Q.GRAPH, N.CENTRAL, """
+ENRICHED = Q.with_(Q.COMMENTS, Q.SCORED, *N.COMMENTS_GRAPH[1:], N.communities_sql(), N.rank_sql(), N.CENTRAL, f"""
 enriched AS (
   SELECT s.*, p.community AS community_id, c.pagerank, c.centrality_group FROM scored s
   LEFT JOIN part p ON p.game = s."gameLabel" AND p.node = s."authorChannelId"
@@ -105,13 +105,17 @@ users AS (SELECT "gameLabel", community_id, count(DISTINCT "authorChannelId") AS
 names AS (
   SELECT "gameLabel", community_id, string_agg("authorDisplayName", ', ' ORDER BY place) AS top_central_users FROM (
     SELECT *, row_number() OVER (PARTITION BY "gameLabel", community_id ORDER BY p DESC, "authorDisplayName") AS place FROM (
-      SELECT "gameLabel", community_id, "authorDisplayName", max(pagerank) AS p FROM valid GROUP BY ALL)) WHERE place <= 5 GROUP BY ALL
+      SELECT "gameLabel", community_id, "authorDisplayName", round(max(pagerank), {B.RANK_DIGITS}) AS p FROM valid GROUP BY ALL)) WHERE place <= 5 GROUP BY ALL
 )""")
 
 
 def enriched(spark, sf):
-    """Scored comments with the network columns, written once: the tables below read it several times."""
-    central = N.simple_centrality(N.comments_graph(spark, sf))
+    """Scored comments with the network columns, written once: the tables below read it several times.
+
+    No table below reads the betweenness, so it is not computed for them.
+    """
+    graph = N.comments_graph(spark, sf)
+    central = G.centrality_group(N.measured_users(graph, betweenness=False), graph.games)
     return Scratch(spark, "enriched").table(G.network_enrich(T.scored(spark, sf), central), "comments")
 
 
@@ -144,9 +148,9 @@ def community_summary(spark, sf):
 
 
 @query("top_communities_by_users", f"""{SUMMARY} SELECT *, game || ' C' || community_id AS community_label FROM summary
-QUALIFY row_number() OVER (PARTITION BY game ORDER BY users DESC, community_id) <= 3""")
+QUALIFY row_number() OVER (PARTITION BY game ORDER BY users DESC, community_id) <= 8""")
 def top_communities_by_users(spark, sf):
-    return B.top_communities_by_users(community_summary(spark, sf), 3)
+    return B.top_communities_by_users(community_summary(spark, sf))
 
 
 @query("sentiment_by_centrality", f"""{ENRICHED}

@@ -43,8 +43,10 @@ def clean(text: str) -> str:
 
 COMMENTS = f"""
 docev AS (
-  SELECT d.doc_id, d.text, d.lang, d.source, e.ts, e.user_id, e.value, date_trunc('week', e.ts) AS week
-  FROM documents d JOIN events e ON e.event_id = d.doc_id
+  SELECT doc_id, text, lang, source, coalesce(ts, TIMESTAMP '2024-01-01') AS ts,
+         coalesce(user_id, doc_id % 1000) AS user_id, coalesce(value, 0) AS value,
+         date_trunc('week', coalesce(ts, TIMESTAMP '2024-01-01')) AS week
+  FROM documents d LEFT JOIN (SELECT event_id, ts, user_id, value FROM events) e ON e.event_id = d.doc_id
 ),
 tops AS (
   SELECT lang, source, week, doc_id AS top, user_id AS target FROM docev
@@ -121,7 +123,10 @@ wdeg AS (
 ),
 udeg AS (
   SELECT game, src AS node, count(*) AS degree, sum(weight) AS strength FROM both_ways GROUP BY ALL
-),
+)"""
+
+# A partition as input of the measures that take any.
+PART = """
 part AS (
   SELECT game, node, CAST(CAST(substr(node, 2) AS BIGINT) % 7 AS INTEGER) AS community FROM verts
 )"""

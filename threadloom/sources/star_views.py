@@ -1,6 +1,7 @@
 """The shapes of the engine seen over the star-schema test tables.
 
-comments      documents with the event of the same number: language as game, source as video
+comments      documents, with time and user of the event of the same number where there is one:
+              language as game, source as video
 reply events  events: type as game, one thread per type and hour
 second labels the quality and toxicity labels as a second model's output
 raw dump      conversations as nested documents, one conversation per document
@@ -47,13 +48,16 @@ def comments(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
     documents, events = read(spark, sf_dir, "documents"), read(spark, sf_dir, "events")
     rows = documents.select("doc_id", "lang", "source").join(
         events.select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"),
-        "doc_id",
-    ).withColumn("week", F.date_trunc("week", "ts"))
+        "doc_id", "left",
+    ).withColumns({
+        "ts": F.coalesce("ts", F.lit("2024-01-01").cast("timestamp")),
+        "user_id": F.coalesce("user_id", F.col("doc_id") % 1000), "value": F.coalesce("value", F.lit(0)),
+    }).withColumn("week", F.date_trunc("week", "ts"))
     rows = answered(rows, ["lang", "source", "week"], ["ts", "doc_id"], "user_id", "doc_id")
     if text:
-        # Build on the narrow side: a broadcast of texts would leave all later text work to the few tasks
-        # that read the narrow rows.
-        rows = documents.select("doc_id", "text").repartition("doc_id").join(rows.hint("shuffle_hash"), "doc_id")
+        # A broadcast of texts would leave all later text work to the few tasks that read the narrow rows; a
+        # sorted join spills where a hashed side could not.
+        rows = documents.select("doc_id", "text").repartition("doc_id").join(rows.hint("merge"), "doc_id")
     published = F.col("ts") + F.make_interval(months=(F.col("doc_id") % MONTHS).cast("int"))
     return rows.select(
         F.col("lang").alias("gameLabel"),
