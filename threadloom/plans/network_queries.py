@@ -17,7 +17,7 @@ BASE = (Q.EVENTS, Q.edges("revents"), Q.GRAPH)
 # Unrolled rounds of the SQL twins; those after the end of a loop change nothing.
 RANK_ROUNDS = 50
 MERGE_ROUNDS = 14
-HOPS = 12  # more than any shortest path of the test graphs has
+HOPS = 30  # more than any shortest path of the test graphs has
 
 
 def events_graph(spark, sf):
