@@ -117,6 +117,25 @@ def test_mixed_documents(odd, none, ready):
     assert {tuple(r)[1:5] for r in mixing.mix(blank).collect()} == {(0, 0, 0.0, 0)}
 
 
+def test_mix_keeps_tiny_sources(ready):
+    """One huge source (ten million words) and tiny ones: every source meets its target to the word."""
+    rows = [(i, " ".join(["w"] * 50_000), "huge") for i in range(200)]
+    rows += [(1000 + i, " ".join(["w"] * n), f"tiny{i}") for i, n in enumerate([1, 2, 3, 7, 90, 900])]
+    got = mixing.mix(ready.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += text.count("w")
+    want = targets_plain(sizes)
+    source, taken = {r[0]: r[2] for r in rows}, Counter()
+    for r in got:
+        taken[source[r["doc_id"]]] += r["taken"]
+        assert r["taken"] <= 3 * r["size"]
+    assert all(abs(taken[s] - t) <= 1 for s, t in want.items()) and taken["tiny0"] == 3
+    # The last pass is runs of a block, not of a few words.
+    runs = [p["to"] - p["from"] for r in got if r["size"] > 1000 for p in r["pieces"]]
+    assert not runs or sum(runs) / len(runs) >= 200
+
+
 @pytest.mark.parametrize("quota", [0, 1, 7, 50, 333, 10_000])
 def test_apportion(ready, quota):
     rng = random.Random(quota)

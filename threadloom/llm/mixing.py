@@ -2,10 +2,11 @@
 
 Targets: every source's share of all tokens by its weight, stopped at ``repeat`` times what the source has;
 the excess is shared again by weight. Blocks: documents of a source are dealt to shards and laid end to end
-in a seeded order; each shard is cut into blocks of (nearly) equal tokens. Quotas: the highest quotients
-votes / (2 * seats + 1) give each source its number of blocks and, in the same way, each shard of a source
-its integer quota. Selection: a shard takes all its blocks as often as its quota allows and the rest of the
-quota by a seeded choice of blocks.
+in a seeded order; each shard is cut into blocks of (nearly) equal tokens, about ``BLOCK_WORDS`` whatever the
+size of the table, so that their number grows with it. Quotas: the highest quotients votes / (2 * seats + 1)
+give each source its number of words and, in the same way, each shard of a source its integer quota. Selection:
+a shard takes all its blocks as often as its quota allows and the rest of the quota by a seeded choice of
+blocks, of which the last is cut to the words left. So a source of a few words meets its target like a huge one.
 
 A shard holds about ``shard_docs`` documents whatever the size of its source, so a source with a third of
 all rows is spread over as many tasks as it needs. Tables of sources and shards stay distributed.
@@ -27,7 +28,7 @@ from threadloom.session import Scratch
 
 WEIGHTS = (5, 2, 1)
 REPEAT = 3
-BLOCKS = 1_000_000
+BLOCK_WORDS = 256  # fixed value: some paragraphs; a shorter shard is one block
 SHARD_DOCS = 256
 SEED = 42
 PIECES = "array<struct<from:bigint,to:bigint>>"
@@ -104,20 +105,23 @@ def apportion(cells: DataFrame, group: list[str], store: Scratch, name: str) ->
 def choose(rows: pd.DataFrame, seed: int) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
     """Whole passes and further word ranges for the documents of one shard, which are in their seeded order."""
     size = rows["_size"].to_numpy(np.int64)
-    total, blocks, quota = int(size.sum()), int(rows["_blocks"].iloc[0]), int(rows["_quota"].iloc[0])
+    total, blocks, quota = int(size.sum()), int(rows["_blocks"].iloc[0]), int(rows["_quota"].iloc[0])  # quota: words
     passes = np.zeros(len(rows), np.int64)
     pieces: list[list[tuple[int, int]]] = [[] for _ in range(len(rows))]
     if not total or not quota:
         return passes, pieces
-    passes[size > 0] = quota // blocks
-    rest = quota % blocks
+    passes[size > 0] = quota // total
+    rest = quota % total
     if rest:
         shard = [seed, int(rows["_sid"].iloc[0]), int(rows["_shard"].iloc[0])]
-        chosen = np.sort(np.random.default_rng(shard).permutation(blocks)[:rest])
+        order = np.random.default_rng(shard).permutation(blocks)
+        lows, highs = order * total // blocks, (order + 1) * total // blocks
+        filled = np.cumsum(highs - lows)
+        last = int(np.searchsorted(filled, rest))
+        highs[last] -= filled[last] - rest
         ends = np.cumsum(size)
         starts = ends - size
-        for block in chosen.tolist():
-            low, high = block * total // blocks, (block + 1) * total // blocks
+        for low, high in sorted(zip(lows[: last + 1].tolist(), highs[: last + 1].tolist(), strict=True)):
             at = int(np.searchsorted(ends, low, "right"))
             while at < len(size) and starts[at] < high:
                 if size[at]:
@@ -131,7 +135,7 @@ def choose(rows: pd.DataFrame, seed: int) -> tuple[np.ndarray, list[list[tuple[i
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = REPEAT, blocks: int = BLOCKS,
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = REPEAT, blocks: int | None = None,
     shard_docs: int = SHARD_DOCS, seed: int = SEED, carry: tuple[str, ...] = (), store: Scratch | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, passes, pieces, and ``carry`` columns.
@@ -139,7 +143,8 @@ def mix(
     ``size`` is the number of words (null or empty text: 0). Sources stand in code point order with null last
     and take the weights in turn. ``passes`` is how often the whole document is taken, ``pieces`` the word
     ranges [from, to) taken once more; ``taken`` counts the words of both and is at most ``repeat`` times the
-    size. Every input row is a document of its own, also where doc_id is null or repeated; equal rows are
+    size. The words taken of a source are its target, rounded to a whole number. ``blocks`` cuts the table into
+    about so many blocks in place of blocks of ``BLOCK_WORDS`` words. Every input row is a document of its own, also where doc_id is null or repeated; equal rows are
     interchangeable. The choice depends on the rows, ``seed`` and the parameters only, not on partitions.
     Documents without words, and all documents of a table without words, take 0.
     """
@@ -156,7 +161,7 @@ def mix(
     level = water_level(sources, repeat)
     target = F.least(repeat * F.col("source_size").cast("double"), F.lit(level) * F.col("weight"))
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    each = max(1.0, total / blocks)
+    each = max(1.0, total / blocks) if blocks else float(BLOCK_WORDS)
     sources = sources.select(
         "source", "sid", "source_size", target.alias("target"),
         F.ceil(F.col("docs") / F.lit(shard_docs)).cast("bigint").alias("_shards"), "g",
@@ -172,19 +177,20 @@ def mix(
         "blocks", F.when(F.col("tokens") > 0, F.greatest(F.lit(1), F.round(F.col("tokens") / each))).otherwise(0).cast("bigint")
     )
     cells = store.table(cells, "cells")
-    have = cells.groupBy(F.col("_sid").alias("sid")).agg((repeat * F.sum("blocks")).alias("most"))
-    seats = round(total / each)
+    # A seat is a word: a quota in blocks would round small sources to nothing.
     quotas = apportion(
-        sources.join(have, "sid").select("g", F.col("sid").alias("cell"), F.col("target").alias("votes"), "most",
-                                         F.lit(seats).cast("bigint").alias("quota")), ["g"], store, "quota",
+        sources.select("g", F.col("sid").alias("cell"), F.col("target").alias("votes"),
+                       (repeat * F.col("source_size")).alias("most"), F.lit(total).cast("bigint").alias("quota")),
+        ["g"], store, "quota",
     )
     shares = cells.join(quotas.select(F.col("cell").alias("_sid"), F.col("seats").alias("quota")), "_sid")
     shares = apportion(
-        shares.select("_sid", F.col("_shard").alias("cell"), F.col("blocks").cast("double").alias("votes"),
-                      (repeat * F.col("blocks")).alias("most"), "quota"), ["_sid"], store, "share",
+        shares.select("_sid", F.col("_shard").alias("cell"), F.col("tokens").cast("double").alias("votes"),
+                      (repeat * F.col("tokens")).alias("most"), "quota"), ["_sid"], store, "share",
+    )
+    plan = shares.select("_sid", F.col("cell").alias("_shard"), F.col("seats").alias("_quota")).join(
+        cells.select("_sid", "_shard", F.col("blocks").alias("_blocks")), ["_sid", "_shard"]
     )
-    plan = shares.select("_sid", F.col("cell").alias("_shard"), F.col("seats").alias("_quota"),
-                         (F.col("most") / repeat).cast("bigint").alias("_blocks"))
     ready = dealt.join(plan, ["_sid", "_shard"]).withColumn("_order", F.xxhash64(F.lit(seed + 1), "doc_id"))
 
     fields = [docs.schema["doc_id"], T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
