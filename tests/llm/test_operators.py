@@ -228,6 +228,28 @@ def test_score_documents(odd, odd_rows, ready, none, limit):
     assert empty["mean_log_score"] == pytest.approx(2 * math.log(0.4))
 
 
+def test_score_words(odd, odd_rows, ready, none):
+    def pairs(t):
+        w = split_words(t)
+        return list(zip([None, *w], w))
+
+    corpus_rows = odd_rows[::2]
+    half = ready.createDataFrame([r[:2] for r in corpus_rows], "doc_id bigint, text string")
+    for corpus, rows in ((None, odd_rows), (odd, odd_rows), (half, corpus_rows)):
+        seen = [p for r in rows for p in pairs(r[1])]
+        n2, m2, n1 = Counter(seen), Counter(a for a, _ in seen), Counter(b for _, b in seen)
+        want = defaultdict(lambda: [0, 0.0])
+        for r in odd_rows:
+            want[r[0]]
+            for a, b in pairs(r[1]):
+                s = (math.log(n2[a, b] / m2[a]) if n2[a, b] >= 2 else
+                     math.log(0.4) + (math.log(n1[b] / len(seen)) if n1[b] else -math.log(len(seen) + 1)))
+                want[r[0]] = [want[r[0]][0] + 1, want[r[0]][1] + s]
+        got = {r[0]: (r[1], r[2]) for r in lm.score_words(odd, corpus).collect()}
+        assert {k: (n, round(l, 6)) for k, (n, l) in got.items()} == {k: (n, pytest.approx(l, abs=1e-5)) for k, (n, l) in want.items()}
+    assert lm.score_words(none).count() == 0
+
+
 # --- SimHash ----------------------------------------------------------------------------------------
 
 

@@ -110,6 +110,28 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+@query("op4_word_lm_score", f"""
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+g AS (SELECT doc_id, CASE WHEN i > 1 THEN w[i - 1] ELSE '' END AS a, w[i] AS b, count(*) AS tf FROM p GROUP BY ALL),
+n2 AS (SELECT a, b, sum(tf) AS n2 FROM g GROUP BY ALL), m2 AS (SELECT a, sum(tf) AS m2 FROM g GROUP BY ALL),
+n1 AS (SELECT b, sum(tf) AS n1 FROM g GROUP BY ALL), m1 AS (SELECT sum(tf) AS m1 FROM g),
+d AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n, sum(tf * CASE WHEN n2 >= {lm.MIN_COUNT} THEN ln(n2 / m2)
+                                                     ELSE ln(n1 / m1) + ln({lm.BACKOFF}) END) AS l
+  FROM g JOIN n2 USING (a, b) JOIN m2 USING (a) JOIN n1 USING (b) CROSS JOIN m1 GROUP BY 1)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_units, round(coalesce(l, 0.0), 4) AS log_score,
+       round(l / n, 6) AS mean_log_score
+FROM t LEFT JOIN d ON t.doc_id = d.doc_id
+""")
+def word_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_words(read(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_units", F.round("log_score", 4).alias("log_score"),
+                         F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 @query("op5_simhash")
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(read(spark, sf_dir, "documents"))
