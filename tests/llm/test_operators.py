@@ -61,6 +61,14 @@ def test_runs_hold_a_hot_line_a_few_times(ready, none):
     assert linededup.dedup_lines(none).count() == 0
 
 
+def test_levels_grow_with_the_rows(odd, odd_rows, monkeypatch):
+    levels, compact = [], linededup.LineRuns.compact
+    monkeypatch.setattr(linededup.LineRuns, "compact", lambda self, level: (levels.append(level), compact(self, level)))
+    got = linededup.dedup_lines(odd, fanout=2, batch_rows=-(-len(odd_rows) // 4))
+    assert Counter(tuple(r) for r in got.collect()) == lines_plain([r[:2] for r in odd_rows])
+    assert levels == [0, 0, 1]
+
+
 # --- mixing -----------------------------------------------------------------------------------------
 
 

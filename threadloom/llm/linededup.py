@@ -25,7 +25,8 @@ from threadloom.session import Scratch
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-BATCHES = 3
+BATCH_ROWS = 1_000_000  # bound of a batch; every batch reads the table once, so it is large
+MIN_BATCHES = 3
 FANOUT = 3
 STRIP = b" \t\n\x0b\x0c\r"  # fixed value: the contract's white space
 KEY = ["hi", "lo"]
@@ -148,8 +149,8 @@ def drop_lines(text: bytes, drop: list[bytes], min_chars: int) -> tuple[bytes, i
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES,
-    fanout: int = FANOUT, store: Scratch | None = None,
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None,
+    fanout: int = FANOUT, batch_rows: int = BATCH_ROWS, store: Scratch | None = None,
 ) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped): every row's text without the lines that other documents hold.
 
@@ -157,12 +158,13 @@ def dedup_lines(
     leading and trailing ASCII white space, A-Z lower-cased. Keys of at least ``min_chars`` code points in at
     least ``min_docs`` rows lose all their lines except in the rows with the largest doc_id that holds them.
     Each row is a document; a null doc_id ranks below all others (if all holders are null, all keep the line).
-    Repeats inside a document count once and stay or go together. Other columns play no part.
+    Repeats inside a document count once and stay or go together. Other columns play no part. The number of
+    ``batches`` follows from the rows, about ``batch_rows`` in each, so levels and compactions grow with the input.
     """
     store = store or scratch(docs.sparkSession, "lines")
     rows = docs.select("doc_id", "text")
     runs = LineRuns(store, min_docs, fanout)
-    for part in batches_of(rows, batches):
+    for part in batches_of(rows, batches or max(MIN_BATCHES, -(-rows.count() // batch_rows))):
         runs.add(line_hashes(part, min_chars))
     frequent = runs.frequent()
     runs.close()
