@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from threadloom.llm import decontaminate, fingerprints, langid, linededup, lm, mixing, simhash, tokens, urls, warc
-from threadloom.llm.common import prepare, read, scratch
+from threadloom.llm import (
+    decontaminate, fingerprints, langid, linededup, lm, mixing, pii, simhash, tokens, urls, warc,
+)
+from threadloom.llm.common import LOWER, UPPER, prepare, read, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -196,6 +198,59 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def pii_sql() -> str:
+    """The same search over RE2: candidates with their places, validators, second looks, scores."""
+    def candidates(name: str, text: str, pattern: str) -> str:
+        quoted = pattern.replace("'", "''")
+        return f"""
+  SELECT rid, '{name}' AS rule, unnest(h) AS v, unnest(g[:-2]) AS gap, unnest(g[2:]) AS after, generate_subscripts(h, 1) AS i
+  FROM (SELECT rid, regexp_extract_all({text}, '{quoted}') AS h, string_split_regex({text}, '{quoted}') AS g FROM {"d" if text == "t" else "left_" + name[:-6]})"""
+
+    def placed(parts: list[str]) -> str:
+        return f"""
+  SELECT *, sum(length(gap) + length(v)) OVER (PARTITION BY rid, rule ORDER BY i) - length(v) AS start,
+         translate(right(gap, {pii.NEAR}) || ' ' || left(after, {pii.NEAR}), '{UPPER}', '{LOWER}') AS near,
+         regexp_replace(v, '[^0-9]', '', 'g') AS digits, replace(v, ' ', '') AS bare
+  FROM ({" UNION ALL ".join(parts)})"""
+
+    luhn = """list_sum(list_transform(range(1, length(digits) + 1), lambda k:
+      CASE WHEN k % 2 = 1 THEN digits[-k]::INT WHEN digits[-k]::INT > 4 THEN 2 * digits[-k]::INT - 9 ELSE 2 * digits[-k]::INT END)) % 10 = 0"""
+    turned = "substr(bare, 5) || substr(bare, 1, 4)"
+    valid = f"""CASE split_part(rule, '_', 1) WHEN 'ip' THEN regexp_matches(v, '{pii.IP}')
+    WHEN 'card' THEN CASE WHEN length(digits) BETWEEN 14 AND 19 THEN {luhn} ELSE false END
+    WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
+    WHEN 'iban' THEN length(bare) BETWEEN 15 AND 34 AND (list_reduce(list_prepend(0, list_transform(string_split({turned}, ''),
+      lambda x: instr('{pii.ALNUM}', x) - 1)), lambda a, b: (a * CASE WHEN b < 10 THEN 10 ELSE 100 END + b) % 97)) = 1
+    ELSE true END AS valid"""
+    kinds = ", ".join(f"('{k}', {i}, '{pii.nearby(pii.WORDS[k])}')" for i, k in enumerate(pii.KINDS))
+    worth = ", ".join(f"('{name}', {rule.worth})" for name, rule in [
+        *pii.RULES.items(), *[(f"{k}_again", r) for k, r in pii.AGAIN.items()]])
+    left = ",".join(f"""
+left_{k} AS (
+  SELECT rid, string_agg(gap || CASE WHEN valid THEN repeat('#', length(v)) ELSE v END, '' ORDER BY i) || max_by(after, i) AS m
+  FROM one WHERE rule = '{k}' GROUP BY rid HAVING NOT bool_and(valid))""" for k in pii.AGAIN)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+kinds(kind, rank, words) AS (VALUES {kinds}), worths(rule, worth) AS (VALUES {worth}),
+one AS MATERIALIZED (SELECT *, {valid} FROM ({placed([candidates(n, "t", r.plain) for n, r in pii.RULES.items()])})),{left},
+two AS (SELECT *, {valid} FROM ({placed([candidates(f"{n}_again", "m", r.plain) for n, r in pii.AGAIN.items()])})),
+spans AS (
+  SELECT rid, kind, rank, start, kind || ':' || start || ':' || (start + length(v)) AS s, rule = kind AND rank < {len(pii.BASE)} AS base,
+         worth + CASE WHEN regexp_matches(near, words) THEN {pii.RAISE} ELSE 0 END
+         - CASE WHEN regexp_matches(near, '{pii.nearby(pii.SAMPLE_WORDS)}') THEN {pii.LOWER_BY} ELSE 0 END AS score
+  FROM (SELECT * FROM one UNION ALL SELECT * FROM two) JOIN worths USING (rule) JOIN kinds ON kind = split_part(rule, '_', 1)
+  WHERE valid)
+SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE base AND kind = '{k}') AS n_{k}" for k in pii.BASE)},
+       sha256(coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (WHERE base), '')) AS base_sha256,
+       coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (WHERE base OR round(score, 2) >= {pii.ACCEPT}), '') AS spans
+FROM d LEFT JOIN spans USING (rid) GROUP BY rid, doc_id"""
+
+
+@query("op11_pii", pii_sql())
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
