@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from threadloom.llm import (
-    decontaminate, fingerprints, langid, linededup, lm, mixing, pii, simhash, tokens, urls, warc,
+    centroids, decontaminate, fingerprints, importance, langid, linededup, lm, mixing, pii, simhash, tokens, urls, warc,
 )
 from threadloom.llm.common import LOWER, UPPER, prepare, read, scratch
 
@@ -251,6 +251,46 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def centroid_sql() -> str:
+    """The rounds one by one: all distances, the nearest centroid, exact floors of the means."""
+    size, k = centroids.SIZE, centroids.CLUSTERS
+    parts = [f"""
+e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings WHERE len(embedding) = {size}),
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(x, lambda y: floor({centroids.SCALE} * y)::BIGINT) AS v FROM e
+  WHERE len(list_filter(x, lambda y: y IS NOT NULL AND isfinite(y))) = {size}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k, v AS c FROM v
+  QUALIFY k < {k})"""]
+    for i in range(centroids.ROUNDS + 1):
+        parts.append(f"""
+d{i} AS (SELECT rid, k, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{i}),
+a{i} AS MATERIALIZED (SELECT rid, arg_min(k, (d, k)) AS k, min(d) AS d FROM d{i} GROUP BY rid)""")
+        if i < centroids.ROUNDS:
+            parts.append(f"""
+m{i} AS (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c FROM (
+    SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM (
+      SELECT k, unnest(v) AS x, unnest(range(1, {size + 1})) AS j FROM v JOIN a{i} USING (rid)) GROUP BY k, j) GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN m{i} m USING (k))""")
+    last = centroids.ROUNDS
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, k::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM v JOIN a{last} USING (rid) JOIN c{last} USING (k)"""
+
+
+@query("op12_centroids", centroid_sql())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_importance")
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
