@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,71 @@ def test_large_table_is_joined(rows, monkeypatch):
     assert small.collect() == large.collect()
 
 
+PHRASES = X.Lexicon(
+    words={"good": 1.9, "bad": -2.5, "kiss of death": -1.5, "kiss": 1.0, "death": -2.9, "of death row": 3.0, "not bad at all": 2.0,
+           "a b": 1.0, "a b c": -1.0, "b c d": 2.0, "😀": 2.1, "❤️": 3.0, ":)": 1.4, "x x": 0.5},
+    boosters={"very": 0.293, "kind of": -0.293, "of": 0.1}, negations=("not", "by no means"))
+PHRASE_CASES = {
+    "the kiss of death": -1.5, "Kiss Of Death!": -1.5 - 0.292, "not the kiss of death": -1.5 * -0.74, "very kiss of death": -1.5 - 0.293,
+    "kiss of death row": -1.5, "kiss death": 1.0 - 2.9, "kind of good": 1.9 - 0.293, "kind of very good": 1.9 + 0.293 - 0.293 * 0.95,
+    "by no means good": 1.9 * -0.74, "by no good": 1.9, "not bad at all good": 2.0 + 1.9, "aa a b cc": 0.0, "😀": 2.1, "good 😀": 1.9 + 2.1,
+    "so 🙂 good": 1.9, "❤️ :)": 3.0 + 1.4, "xx x": 0.0, "bad kind of": -2.5, "KISS OF DEATH here": -1.5 - 0.733, "of death row": 3.0,
+}
+
+
+def both_ways(rows, monkeypatch, df, table):
+    """Scores with the lists in the plan, then with the table joined."""
+    out = []
+    for limit in (X.PLAN_LIMIT, 3):
+        monkeypatch.setattr(X, "PLAN_LIMIT", limit)
+        found = T.lexicon_sentiment(df, table).select("commentId", *LEXICON_SCORES.names)
+        out.append({r.commentId: r.asDict() for r in found.collect()})
+    return out
+
+
+def test_phrases_and_emoji(rows, monkeypatch):
+    df = rows(list(PHRASE_CASES.items()), "commentId string, x double").withColumn("textClean", F.col("commentId"))
+    lists = {r.commentId: r.vader_compound for r in T.lexicon_sentiment(df, PHRASES).collect()}
+    assert lists == {text: compound(total) for text, total in PHRASE_CASES.items()}
+    table = rows([row for kind in X.KINDS for row in PHRASES.rows(kind)], "term string, valence double, kind string")
+    plan, joined = both_ways(rows, monkeypatch, df, table)
+    assert plan == joined and {k: v["vader_compound"] for k, v in plan.items()} == lists
+
+
+def phrases_plain(words, terms):
+    """Left to right, the longest first: (place, term)."""
+    at, out = 0, []
+    while at < len(words):
+        size = max((n for n in range(2, 5) if " ".join(words[at: at + n]) in terms and at + n <= len(words)), default=0)
+        if size:
+            out.append((at, " ".join(words[at: at + size])))
+        at += size or 1
+    return out
+
+
+def test_overlapping_phrases(rows, monkeypatch):
+    rng = random.Random(4)
+    words = ["aa", "bb", "cc"]
+    terms = {" ".join(rng.choice(words) for _ in range(rng.randrange(2, 5))): rng.choice([1.5, -0.5, 2.0]) for _ in range(14)}
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 25))) for _ in range(200)]
+    df = rows([(str(i), t) for i, t in enumerate(texts)], "commentId string, textClean string")
+    entries = [(t, v, "word") for t, v in terms.items()] + [("zz", 0.2, "booster"), ("yy", None, "negation")]
+    plan, joined = both_ways(rows, monkeypatch, df, rows(entries, "term string, valence double, kind string"))
+    assert plan == joined
+    for i, text in enumerate(texts):
+        assert plan[str(i)]["vader_compound"] == compound(sum(terms[t] for _, t in phrases_plain(text.split(), terms))), text
+
+
+def test_repeated_and_odd_rows(rows, monkeypatch):
+    entries = [("Good", 1.0, "word"), ("good", -3.0, "word"), ("good", 3.0, "word"), (" kiss  of\tdeath", -1.5, "word"), ("", 1.0, "word"),
+               (None, 1.0, "word"), ("bad", None, "word"), ("good", 1.0, "noun"), ("very", 0.5, "booster"), ("VERY", 0.2, "booster")]
+    df = rows([(t, t) for t in ("good", "very good", "kiss of death", "bad", "not good")], "commentId string, textClean string")
+    plan, joined = both_ways(rows, monkeypatch, df, rows(entries, "term string, valence double, kind string"))
+    assert plan == joined
+    assert {k: v["vader_compound"] for k, v in plan.items()} == {
+        "good": compound(3.0), "very good": compound(3.5), "kiss of death": compound(-1.5), "bad": 0.0, "not good": compound(3.0 * -0.74)}
+
+
 def test_default_words(rows):
     df = rows([("a", "what a great song"), ("b", "this is terrible")], "commentId string, textClean string")
     assert {r.commentId: r.sentiment_label for r in T.lexicon_sentiment(df).collect()} == {"a": "Positive", "b": "Negative"}

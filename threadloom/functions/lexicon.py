@@ -21,15 +21,17 @@ NORMALISER = 15.0
 EDGE_PUNCTUATION = [
     ".", "!", "?", ",", ";", ":", "-", "'", '"', "!!", "!!!", "??", "???", "?!?", "!?!", "?!?!", "!?!?",
 ]
-STRONGER = """absolutely amazingly awfully completely considerably decidedly deeply enormously entirely especially
-exceptionally extremely fabulously fully greatly highly hugely incredibly intensely majorly more most particularly
-purely quite really remarkably so substantially thoroughly totally tremendously unbelievably unusually utterly
-very""".split()
-WEAKER = """almost barely hardly kinda kindof less little marginally occasionally partly scarcely slightly somewhat
-sorta""".split()
+STRONGER = """absolutely amazingly awfully completely considerably decidedly deeply effing enormously entirely especially
+exceptionally extremely fabulously flipping flippin fricking frickin frigging friggin fully fucking greatly hella highly
+hugely incredibly intensely majorly more most particularly purely quite really remarkably so substantially thoroughly
+totally tremendously uber unbelievably unusually utterly very""".split()
+WEAKER = """almost barely hardly kinda kindof kind-of less little marginally occasionally partly scarcely slightly
+somewhat sorta sortof sort-of""".split() + ["just enough", "kind of", "sort of"]
 NEGATIONS = """aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neither
-neednt never none nope nor not nothing nowhere oughtnt shant shouldnt uhuh wasnt werent without wont wouldnt rarely
+neednt never none nope nor not nothing nowhere oughtnt shant shouldnt uhuh uh-uh wasnt werent without wont wouldnt rarely
 seldom despite""".split()
+IDIOMS = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "yeah right": -2.0, "cut the mustard": 2.0,
+          "kiss of death": -1.5, "hand to mouth": -2.0}
 
 # A small list of our own, for use without a full table: strength -> words.
 WORDS = {
@@ -48,7 +50,7 @@ WORDS = {
 
 
 def own_words() -> dict[str, float]:
-    return {word: value for value, words in WORDS.items() for word in words.split()}
+    return {word: value for value, words in WORDS.items() for word in words.split()} | IDIOMS
 
 
 def own_boosters() -> dict[str, float]:
@@ -57,27 +59,54 @@ def own_boosters() -> dict[str, float]:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Small word lists that travel inside the plan."""
+    """Word lists that travel inside the plan. A term of several words, parted by single spaces, is a phrase."""
 
     words: dict[str, float] = field(default_factory=own_words)
     boosters: dict[str, float] = field(default_factory=own_boosters)
     negations: tuple[str, ...] = tuple(NEGATIONS)
 
+    def terms(self) -> set[str]:
+        return {*self.words, *self.boosters, *self.negations}
 
+    def phrases(self) -> list[list[str]]:
+        return [term.split(" ") for term in sorted(self.terms()) if " " in term]
+
+    def single_characters(self) -> list[str]:
+        return sorted(term for term in self.terms() if len(term) == 1)
+
+    def rows(self, kind: str) -> list[tuple[str, float, str]]:
+        lists = {"word": self.words, "booster": self.boosters, "negation": dict.fromkeys(self.negations, 0.0)}
+        return [(term, value, kind) for term, value in lists[kind].items()]
+
+
+KINDS = ("word", "booster", "negation")
 # Beyond this many entries a lexicon table is joined instead of being carried in the plan.
 PLAN_LIMIT = 20_000
 
 
+def tidy(table: DataFrame) -> DataFrame:
+    """(term, valence, kind) with one row per term and kind: lower case, words parted by single spaces.
+
+    Of repeated rows the strongest stays, the positive one of two equally strong. Rows without a term, or without
+    the valence that a word or booster needs, are left out. A kind without any row is filled from our own lists.
+    """
+    term = F.trim(F.regexp_replace(F.lower("term"), r"(?U)[\s\x1c-\x1f]+", " "))
+    valence = F.when(F.col("kind") == "negation", F.lit(0.0)).otherwise(F.col("valence").cast("double"))
+    rows = table.select(term.alias("term"), valence.alias("valence"), "kind")
+    rows = rows.filter((F.col("term") != "") & F.col("valence").isNotNull() & F.col("kind").isin(*KINDS))
+    present = {r["kind"] for r in rows.select("kind").distinct().collect()}  # at most three
+    own = [row for kind in KINDS if kind not in present for row in Lexicon().rows(kind)]
+    if own:
+        rows = rows.unionByName(table.sparkSession.createDataFrame(own, "term string, valence double, kind string"))
+    return rows.groupBy("term", "kind").agg(F.max_by("valence", F.struct(F.abs("valence"), "valence")).alias("valence"))
+
+
 def from_rows(rows) -> Lexicon:
-    """Lexicon from rows (term, valence, kind); kinds: word, booster, negation. Missing lists are our own."""
+    """Lexicon from the rows of a tidy table."""
     kinds = defaultdict(dict)
     for row in rows:
-        kinds[row["kind"]][row["term"].lower()] = row["valence"]
-    return Lexicon(
-        words=kinds["word"] or own_words(),
-        boosters=kinds["booster"] or own_boosters(),
-        negations=tuple(sorted(kinds["negation"])) or tuple(NEGATIONS),
-    )
+        kinds[row["kind"]][row["term"]] = row["valence"]
+    return Lexicon(words=kinds["word"], boosters=kinds["booster"], negations=tuple(sorted(kinds["negation"])))
 
 
 def fits_plan(table: DataFrame) -> bool:
@@ -100,3 +129,28 @@ def lookup(word: Column, values: dict[str, float]) -> Column:
     if found is None:
         return F.lit(None).cast("double")
     return F.when(word.isin(*sorted(values)), found)
+
+
+def longest_phrase(words: Column, start: Column, phrases: list[list[str]]) -> Column:
+    """Words in the longest phrase that begins at ``start`` of an array of words; 0 where none does.
+
+    A walk down the trie of the phrases: each level tests a run of words against the prefixes of that length, so
+    that nearly all positions are left after a single test.
+    """
+    prefixes, ends = defaultdict(set), defaultdict(set)
+    for phrase in phrases:
+        ends[len(phrase)].add(" ".join(phrase))
+        for depth in range(1, len(phrase) + 1):
+            prefixes[depth].add(" ".join(phrase[:depth]))
+
+    def walk(depth: int, best: Column) -> Column:
+        run = F.get(words, start)
+        for k in range(1, depth):
+            run = F.concat(run, F.lit(" "), F.get(words, start + k))
+        if depth in ends:
+            best = F.when(run.isin(*sorted(ends[depth])), depth).otherwise(best)
+        if depth + 1 not in prefixes:
+            return best
+        return F.when(run.isin(*sorted(prefixes[depth])), walk(depth + 1, best)).otherwise(best)
+
+    return walk(1, F.lit(0)) if phrases else F.lit(0)

@@ -22,26 +22,29 @@ _LEADING = rf"(?<!\S)(?:{_EDGE})([^\p{{Punct}}\s]{{2,}}+)(?!\S)"
 _TRAILING = rf"(?<!\S)([^\p{{Punct}}\s]{{2,}}+)(?:{_EDGE})(?!\S)"
 
 
-def words_of(text: Column) -> Column:
-    """Words longer than one character; one edge mark is taken off a word that has no other punctuation."""
+def words_of(text: Column, short: list[str] | None = None) -> Column:
+    """Words longer than one character; one edge mark is taken off a word that has no other punctuation.
+
+    ``short``: single characters, such as emoji of the lexicon, that count as words too.
+    """
     bare = F.regexp_replace(F.regexp_replace(text, _LEADING, "$1"), _TRAILING, "$1")
-    return F.filter(F.split(bare, r"(?U)[\s\x1c-\x1f]+"), lambda w: F.length(w) > 1)
 
+    def counts(word: Column) -> Column:
+        return (F.length(word) > 1) | F.lower(word).isin(*short) if short else F.length(word) > 1
 
-def in_capitals(word: Column) -> Column:
-    return (F.upper(word) == word) & (F.lower(word) != word)
+    return F.filter(F.split(bare, r"(?U)[\s\x1c-\x1f]+"), counts)
 
 
-def _negated(word: Column, negations: tuple[str, ...]) -> Column:
-    return F.coalesce(word.isin(*negations) | word.contains("n't"), F.lit(False))
+def in_capitals(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word)
 
 
-def _neighbour(acc: Column, k: Column, i: Column, lists: X.Lexicon) -> Column:
+def _neighbour(acc: Column, k: Column, i: Column) -> Column:
     """Effect of the word ``k + 1`` places before word ``i`` on the valence so far."""
     low = F.col("_low")
     j = i - k - 1
     word = F.get(low, j)
-    boost = F.coalesce(X.lookup(word, lists.boosters), F.lit(0.0))
+    boost = F.coalesce(F.get("_boosts", j), F.lit(0.0))
     loud = F.col("_mixed") & in_capitals(F.get("_words", j)) & (boost != 0)
     boosted = (
         F.when(acc < 0, -boost).otherwise(boost)
@@ -53,21 +56,21 @@ def _neighbour(acc: Column, k: Column, i: Column, lists: X.Lexicon) -> Column:
     factor = (
         F.when((k == 1) & never & so_this[0], X.NEVER_NEAR)
         .when((k == 2) & never & (so_this[0] | so_this[1]), X.NEVER_FAR)
-        .when(_negated(word, lists.negations), X.NEGATION)
+        .when(F.get("_negated", j), X.NEGATION)
         .otherwise(1.0)
     )
     counts = (i > k) & F.get("_values", j).isNull()
     return F.when(counts, (acc + boosted * damping) * factor).otherwise(acc)
 
 
-def _valence(word: Column, i: Column, lists: X.Lexicon) -> Column:
+def _valence(word: Column, i: Column) -> Column:
     low, value = F.col("_low"), F.get("_values", i)
     kind_of = (F.get(low, i) == "kind") & F.coalesce(F.get(low, i + 1) == "of", F.lit(False))
-    silent = value.isNull() | kind_of | F.get(low, i).isin(*lists.boosters)
+    silent = value.isNull() | F.isnan(value) | kind_of | F.get("_boosts", i).isNotNull()
     louder = F.when(value > 0, value + X.CAPITALS).otherwise(value - X.CAPITALS)
     start = F.when(F.col("_mixed") & in_capitals(word), louder).otherwise(value)
     steps = F.array(F.lit(0), F.lit(1), F.lit(2))
-    near = F.aggregate(steps, start, lambda acc, k: _neighbour(acc, k, i, lists))
+    near = F.aggregate(steps, start, lambda acc, k: _neighbour(acc, k, i))
     spared = F.coalesce(F.get(low, i - 2).isin("at", "very"), F.lit(False))
     least = F.coalesce((F.get(low, i - 1) == "least") & F.get("_values", i - 1).isNull(), F.lit(False)) & ~spared
     but = F.when(F.col("_but") == 0, 1.0).when(i + 1 < F.col("_but"), X.BEFORE_BUT)
@@ -83,14 +86,14 @@ def _marks(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def _scores(df: DataFrame, text: str, lists: X.Lexicon) -> DataFrame:
-    """Add the score columns to rows with ``_words``, ``_low`` and ``_values``."""
+def _scores(df: DataFrame, text: str) -> DataFrame:
+    """Add the score columns to rows with ``_words``, ``_low``, ``_values``, ``_boosts`` and ``_negated``."""
     loud = F.size(F.filter("_words", in_capitals))
     df = df.withColumns({
         "_mixed": (loud > 0) & (loud < F.size("_words")),
         "_but": F.array_position("_low", "but"),
     })
-    df = df.withColumn("_s", F.transform("_words", lambda w, i: _valence(w, i, lists)))
+    df = df.withColumn("_s", F.transform("_words", lambda w, i: _valence(w, i)))
     questions, exclamations = _marks(F.col(text), "?"), _marks(F.col(text), "!")
     emphasis = F.least(exclamations, F.lit(X.MAX_EXCLAMATIONS)) * X.EXCLAMATION + (
         F.when(questions <= 1, 0.0).when(questions <= 3, questions * X.QUESTION).otherwise(X.MANY_QUESTIONS)
@@ -123,47 +126,141 @@ def _scores(df: DataFrame, text: str, lists: X.Lexicon) -> DataFrame:
     return df.withColumns({"sentiment_label": F.col("vader_label"), "sentiment_score": F.col("vader_compound")})
 
 
-_HELPERS = ["_words", "_low", "_values", "_mixed", "_but", "_s", "_emph", "_sum", "_up", "_down", "_zero"]
+_HELPERS = ["_words", "_low", "_chosen", "_single", "_marks", "_values", "_boosts", "_negated", "_mixed", "_but", "_s", "_emph",
+            "_sum", "_up", "_down", "_zero"]
 
 
-def _with_words(df: DataFrame, text: str) -> DataFrame:
-    df = C.computed(df, _words=words_of(F.coalesce(F.col(text), F.lit(""))))
+def _with_words(df: DataFrame, text: str, short: list[str]) -> DataFrame:
+    df = C.computed(df, _words=words_of(F.coalesce(F.col(text), F.lit("")), short))
     return df.withColumn("_low", F.transform("_words", F.lower))
 
 
+# A word or phrase found in the lexicon: its place, its number of words and what the lists say about it.
+_EFFECT = "struct<value: double, boost: double, negates: boolean>"
+
+
+def _effect(term: Column, lists: X.Lexicon) -> Column:
+    """What the lists say about a term."""
+    negates = term.isin(*lists.negations) if lists.negations else F.lit(False)
+    return F.struct(X.lookup(term, lists.words).alias("value"), X.lookup(term, lists.boosters).alias("boost"),
+                    F.coalesce(negates, F.lit(False)).alias("negates")).cast(_EFFECT)
+
+
+def _without_overlap(found: Column) -> Column:
+    """Of (at, size, effect), sorted by place and the longest first, those that start after the last chosen one."""
+    kind = f"array<struct<at: int, size: int, effect: {_EFFECT}>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        taken = F.struct((x["at"] + x["size"]).alias("free"), F.array_append(acc["taken"], x).alias("taken"))
+        return F.when(x["at"] >= acc["free"], taken).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("free"), F.array().cast(kind).alias("taken"))
+    return F.aggregate(found, start, step, lambda acc: acc["taken"])
+
+
+def _spread(chosen: str, size: Column) -> Column:
+    """An effect per word position, null outside of the chosen terms.
+
+    The value of a phrase sits on its first word, what it does to later words on its last one, as neighbours look
+    backwards. Its other words have a value of NaN: they neither count themselves nor act on others.
+    """
+    inert = F.struct(F.lit(float("nan")).alias("value"), F.lit(None).alias("boost"), F.lit(False).alias("negates")).cast(_EFFECT)
+    free = F.lit(None).cast(_EFFECT)
+
+    def words(x: Column) -> Column:
+        valued = x["effect"]["value"].isNotNull()
+        rest = F.array_repeat(inert, x["size"] - 1)
+        return F.when(valued, F.concat(F.array(x["effect"]), rest)).otherwise(F.concat(rest, F.array(x["effect"])))
+
+    def end(i: Column) -> Column:
+        before = F.get(chosen, i - 1)
+        return F.when(i > 0, before["at"] + before["size"]).otherwise(0)
+
+    parts = F.transform(chosen, lambda x, i: F.concat(F.array_repeat(free, x["at"] - end(i)), words(x)))
+    return F.concat(F.flatten(parts), F.array_repeat(free, size - end(F.size(chosen))))
+
+
+def _with_effects(df: DataFrame) -> DataFrame:
+    """``_values``, ``_boosts`` and ``_negated`` per word: a phrase's (``_marks``) before the word's own (``_single``)."""
+    def both(i: Column) -> Column:
+        return F.coalesce(F.get("_marks", i), F.get("_single", i))
+
+    def negated(word: Column, i: Column) -> Column:
+        plain = F.get("_marks", i).isNull() & word.contains("n't")
+        return F.coalesce(both(i)["negates"], F.lit(False)) | plain
+
+    return C.computed(
+        df, _values=F.transform("_low", lambda w, i: both(i)["value"]), _boosts=F.transform("_low", lambda w, i: both(i)["boost"]),
+        _negated=F.transform("_low", negated),
+    )
+
+
 def lexicon_sentiment(
     df: DataFrame, lexicon: X.Lexicon | DataFrame | None = None, text: str = "textClean",
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """Shares of negative, neutral and positive words, the compound score and its label.
 
-    ``lexicon``: word lists, or a table (term, valence, kind) with unique terms. A table that is too large
-    to travel in the plan is joined by word instead.
+    ``lexicon``: word lists, or a table (term, valence, kind); kinds are word, booster and negation, terms may have
+    several words, and repeated rows are settled as in ``tidy``. Phrases are found from left to right, the longest
+    first, and take their words out of the single-word look-up. A table that is too large to travel in the plan is
+    joined instead, with the same result.
     """
     if isinstance(lexicon, DataFrame):
-        if not X.fits_plan(lexicon):
-            return _by_join(df, lexicon, text, scratch or Scratch(df.sparkSession, "lexicon"))
-        lexicon = X.from_rows(lexicon.collect())
+        table = X.tidy(lexicon)
+        if not X.fits_plan(table):
+            return _by_join(df, table, text, scratch or Scratch(df.sparkSession, "lexicon"))
+        lexicon = X.from_rows(table.collect())
     lists = lexicon or X.Lexicon()
-    df = _with_words(df, text).withColumn("_values", F.transform("_low", lambda w: X.lookup(w, lists.words)))
-    return _scores(df, text, lists).drop(*_HELPERS)
+    phrases = lists.phrases()
+    df = _with_words(df, text, lists.single_characters())
+    marks = F.lit(None).cast(f"array<{_EFFECT}>")
+    if phrases:
+        def place(word: Column, i: Column) -> Column:
+            return F.struct(i.alias("at"), X.longest_phrase(F.col("_low"), i, phrases).alias("size"))
+
+        def named(x: Column) -> Column:
+            term = F.array_join(F.slice("_low", x["at"] + 1, x["size"]), " ")
+            return F.struct(x["at"], x["size"], _effect(term, lists).alias("effect"))
+
+        found = F.transform(F.filter(F.transform("_low", place), lambda x: x["size"] > 0), named)
+        df = C.computed(df, _chosen=_without_overlap(found))
+        marks = F.when(F.size("_chosen") > 0, _spread("_chosen", F.size("_low")))
+    df = C.computed(df, _single=F.transform("_low", lambda w: _effect(w, lists)), _marks=marks)
+    return _scores(_with_effects(df), text).drop(*_HELPERS)
 
 
 def _by_join(df: DataFrame, table: DataFrame, text: str, scratch: Scratch) -> DataFrame:
-    rules = table.filter(F.col("kind") != "word")
-    if not X.fits_plan(rules):
-        raise ValueError("too many booster and negation entries")
-    lists = X.from_rows(rules.collect())
-    rows = scratch.table(_with_words(df, text).withColumn("_row", F.monotonically_increasing_id()), "texts")
-    terms = table.filter(F.col("kind") == "word").select(F.lower("term").alias("_term"), "valence")
-    hits = (
-        rows.select("_row", F.posexplode("_low").alias("_pos", "_term")).join(terms, "_term")
-        .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "valence"))).alias("_hits"))
-    )
-    rows = rows.join(hits, "_row", "left").withColumn(
-        "_values", F.transform("_low", lambda w, i: F.try_element_at("_hits", i))
+    """``table`` is tidy. Every run of words as long as some term meets the terms, in one exchange."""
+    table = scratch.table(table, "terms")
+    # Single characters are at most as many as there are characters; lengths as many as the longest term has words.
+    short = [r["term"] for r in table.filter(F.length("term") == 1).select("term").distinct().collect()]
+    sizes = sorted(r[0] for r in table.select(F.size(F.split("term", " ")).alias("n")).distinct().collect())
+
+    def of(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col("valence")))
+
+    effect = F.struct(of("word").alias("value"), of("booster").alias("boost"), of("negation").isNotNull().alias("negates"))
+    terms = table.groupBy(F.col("term").alias("_term")).agg(effect.cast(_EFFECT).alias("effect"))
+    rows = scratch.table(_with_words(df, text, short).withColumn("_row", F.monotonically_increasing_id()), "texts")
+    places = rows.select("_row", F.posexplode("_low").alias("at", "_w"), "_low").select(
+        "_row", "at", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size"), "_low"
+    ).filter(F.col("at") + F.col("size") <= F.size("_low"))
+    runs = places.select("_row", "at", "size", F.array_join(F.slice("_low", F.col("at") + 1, F.col("size")), " ").alias("_term"))
+    found = runs.join(terms, "_term").groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("at", (-F.col("size")).alias("longest"), "effect"))).alias("_found"))
+
+    def picked(single: bool) -> Column:
+        kept = F.filter("_found", lambda x: (x["longest"] == -1) == F.lit(single))
+        return F.transform(kept, lambda x: F.struct(x["at"], (-x["longest"]).alias("size"), x["effect"]))
+
+    rows = rows.join(found, "_row", "left")
+    rows = C.computed(rows, _chosen=_without_overlap(picked(False)), _alone=picked(True))
+    rows = C.computed(
+        rows, _marks=F.when(F.size("_chosen") > 0, _spread("_chosen", F.size("_low"))),
+        _single=F.when(F.size("_alone") > 0, _spread("_alone", F.size("_low"))),
     )
-    return _scores(rows, text, lists).drop(*_HELPERS, "_row", "_hits")
+    return _scores(_with_effects(rows), text).drop(*_HELPERS, "_row", "_found", "_alone")
 
 
 # --- a caller's model ---------------------------------------------------------------------------

@@ -12,11 +12,15 @@ TEST_WORDS = {
     "pour": 1.2, "avec": 1.7, "dans": -1.4, "sur": 0.9, "une": -1.1, "est": 2.3, "qui": -1.9, "elle": 1.3,
     "mit": 1.1, "sich": -1.6, "auf": -0.9, "eine": 1.8, "das": -1.2, "ist": 2.2, "von": -2.1, "der": 0.4,
     "los": -1.8, "las": 1.5, "por": 1.4, "del": -0.6, "una": 2.4, "con": -2.3, "para": 1.9, "como": -1.4,
+    # A single character, and phrases that hold, overlap and repeat each other.
+    "|": -0.4, "of the": 1.3, "in the": -0.9, "the the": 0.8, "anea eriner": -2.0, "anea eriner thanea": 2.2,
+    "thanedble the anea eriner": -1.4, "de de de": 1.1, "mit der": 1.7, "orre orre orre orre": -0.3,
 }
 TEST_LEXICON = X.Lexicon(
     words=TEST_WORDS,
-    boosters={"very": X.BOOST, "la": X.BOOST, "zu": X.BOOST, "to": X.BOOST, "of": -X.BOOST, "le": -X.BOOST, "im": -X.BOOST},
-    negations=("nicht", "pas", "no", "not", "never", "un", "er"),
+    boosters={"very": X.BOOST, "la": X.BOOST, "zu": X.BOOST, "to": X.BOOST, "of": -X.BOOST, "le": -X.BOOST, "im": -X.BOOST,
+              "de la": X.BOOST, "a the": -X.BOOST},
+    negations=("nicht", "pas", "no", "not", "never", "un", "er", "in der", "it the"),
 )
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "that", "it", "de", "la", "der", "die", "und", "le", "que", "en"]
 
@@ -133,28 +137,27 @@ part AS (
 
 LEXICON = f"""
 lex AS (SELECT * FROM (VALUES {values(TEST_LEXICON.words.items())}) AS t(term, valence)),
-boost AS (SELECT * FROM (VALUES {values(TEST_LEXICON.boosters.items())}) AS t(term, boost))"""
+boost AS (SELECT * FROM (VALUES {values(TEST_LEXICON.boosters.items())}) AS t(term, boost)),
+negs AS (SELECT * FROM (VALUES {values((w, "true") for w in TEST_LEXICON.negations)}) AS t(term, neg)),
+phrases AS (
+  SELECT term, len(string_split(term, ' ')) AS n, valence, boost, neg IS NOT NULL AS neg
+  FROM lex FULL JOIN boost USING (term) FULL JOIN negs USING (term) WHERE contains(term, ' '))"""
 
 _EDGES = "|".join("".join("\\" + c if c in ".?-" else c for c in p) for p in
                   sorted(X.EDGE_PUNCTUATION, key=len, reverse=True)).replace("'", "''")
 
 
-def _negated(word: str) -> str:
-    words = ", ".join(f"'{w}'" for w in TEST_LEXICON.negations)
-    return f"({word} IN ({words}) OR {word} LIKE '%n''t%')"
-
-
 def _step(n: int, before: str) -> str:
     """Valence after looking at the word ``n`` places back."""
     so = {d: f"coalesce(l{d} IN ('so', 'this'), false)" for d in (1, 2)}
     never = {1: "false", 2: f"l2 = 'never' AND {so[1]}", 3: f"l3 = 'never' AND ({so[1]} OR {so[2]})"}[n]
     times = {1: 1.0, 2: X.NEVER_NEAR, 3: X.NEVER_FAR}[n]
     return f"""
-  CASE WHEN t{n} IS NOT NULL AND v{n} IS NULL THEN
+  CASE WHEN t{n} IS NOT NULL AND v{n} IS NULL AND NOT i{n} THEN
     ({before} + (coalesce(b{n}, 0) * (CASE WHEN {before} < 0 THEN -1 ELSE 1 END)
       + CASE WHEN mixed AND b{n} IS NOT NULL AND upper(t{n}) = t{n} AND lower(t{n}) <> t{n}
              THEN (CASE WHEN {before} > 0 THEN 1 ELSE -1 END) * {X.CAPITALS} ELSE 0 END) * {X.DAMPING[n - 1]})
-    * CASE WHEN {never} THEN {times} WHEN {_negated(f"l{n}")} THEN {X.NEGATION} ELSE 1 END
+    * CASE WHEN {never} THEN {times} WHEN g{n} THEN {X.NEGATION} ELSE 1 END
   ELSE {before} END"""
 
 
@@ -162,29 +165,50 @@ SCORED = rf"""
 {LEXICON.strip()},
 tok0 AS (
   SELECT "commentId" AS id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
-  FROM (SELECT "commentId", list_filter(string_split("textClean", ' '), lambda x: length(x) > 1) AS ws FROM comments)
+  FROM (SELECT "commentId", list_filter(string_split("textClean", ' '), lambda x: length(x) > 1 OR x = '|') AS ws FROM comments)
 ),
 tok AS (
   SELECT id, pos, regexp_replace(regexp_replace(w, '^(?:{_EDGES})([^[:punct:]]{{2,}})$', '\1'),
                                  '^([^[:punct:]]{{2,}})(?:{_EDGES})$', '\1') AS w FROM tok0
 ),
-near AS (
-  SELECT id, pos, w, lower(w) AS l0, lead(lower(w)) OVER p AS nxt,
-         lag(w, 1) OVER p AS t1, lag(w, 2) OVER p AS t2, lag(w, 3) OVER p AS t3,
-         lag(lower(w), 1) OVER p AS l1, lag(lower(w), 2) OVER p AS l2, lag(lower(w), 3) OVER p AS l3
+runs AS (
+  SELECT id, pos, lower(w) || ' ' || lead(lower(w), 1) OVER p AS g2, g2 || ' ' || lead(lower(w), 2) OVER p AS g3,
+         g3 || ' ' || lead(lower(w), 3) OVER p AS g4
   FROM tok WINDOW p AS (PARTITION BY id ORDER BY pos)
 ),
+longest AS (
+  SELECT id, pos, arg_max(term, n) AS term, max(n) AS n FROM (
+    SELECT id, pos, unnest([g2, g3, g4]) AS term FROM runs) JOIN phrases USING (term) GROUP BY id, pos
+),
+chosen AS (
+  SELECT id, unnest(list_reduce(list([[pos, n]] ORDER BY pos), lambda a, c:
+    CASE WHEN c[1][1] >= a[-1][1] + a[-1][2] THEN list_concat(a, c) ELSE a END)) AS m FROM longest GROUP BY id
+),
+spots AS (
+  SELECT id, pos + j AS pos, CASE WHEN valence IS NOT NULL AND j = 0 THEN valence END AS valence,
+         CASE WHEN act THEN boost END AS boost, act AND neg AS neg, NOT act AS inert
+  FROM (SELECT c.id, l.pos, p.*, unnest(range(p.n)) AS j, j = CASE WHEN valence IS NULL THEN p.n - 1 ELSE 0 END AS act
+        FROM chosen c JOIN longest l ON l.id = c.id AND l.pos = c.m[1] JOIN phrases p USING (term))
+),
+effects AS (
+  SELECT t.id, t.pos, t.w, lower(t.w) AS l0, CASE WHEN m.id IS NULL THEN x.valence ELSE m.valence END AS v0,
+         CASE WHEN m.id IS NULL THEN b.boost ELSE m.boost END AS b0,
+         CASE WHEN m.id IS NULL THEN n.neg IS NOT NULL OR lower(t.w) LIKE '%n''t%' ELSE m.neg END AS g0,
+         coalesce(m.inert, false) AS i0
+  FROM tok t LEFT JOIN spots m ON m.id = t.id AND m.pos = t.pos LEFT JOIN lex x ON x.term = lower(t.w)
+  LEFT JOIN boost b ON b.term = lower(t.w) LEFT JOIN negs n ON n.term = lower(t.w)
+),
+near AS (
+  SELECT *, {", ".join(f"lag({a}, {k}) OVER p AS {b}{k}" for k in (1, 2, 3) for a, b in (
+      ("w", "t"), ("l0", "l"), ("v0", "v"), ("b0", "b"), ("g0", "g"), ("i0", "i")))}
+  FROM effects WINDOW p AS (PARTITION BY id ORDER BY pos)
+),
 per_text AS (
   SELECT id, count(*) AS n, count(*) FILTER (upper(w) = w AND lower(w) <> w) BETWEEN 1 AND count(*) - 1 AS mixed,
          min(pos) FILTER (l0 = 'but') AS but_at FROM near GROUP BY id
 ),
 hits AS (
-  SELECT n.*, m.mixed, m.but_at, x0.valence AS v0, x1.valence AS v1, x2.valence AS v2, x3.valence AS v3,
-         b1.boost AS b1, b2.boost AS b2, b3.boost AS b3
-  FROM near n JOIN per_text m USING (id) JOIN lex x0 ON x0.term = n.l0
-  LEFT JOIN lex x1 ON x1.term = n.l1 LEFT JOIN lex x2 ON x2.term = n.l2 LEFT JOIN lex x3 ON x3.term = n.l3
-  LEFT JOIN boost b1 ON b1.term = n.l1 LEFT JOIN boost b2 ON b2.term = n.l2 LEFT JOIN boost b3 ON b3.term = n.l3
-  WHERE n.l0 NOT IN (SELECT term FROM boost)
+  SELECT n.*, m.mixed, m.but_at FROM near n JOIN per_text m USING (id) WHERE v0 IS NOT NULL AND b0 IS NULL
 ),
 h0 AS (
   SELECT *, CASE WHEN mixed AND upper(w) = w AND lower(w) <> w
@@ -194,7 +218,7 @@ h1 AS (SELECT *, {_step(1, "s0")} AS s1 FROM h0),
 h2 AS (SELECT *, {_step(2, "s1")} AS s2 FROM h1),
 h3 AS (SELECT *, {_step(3, "s2")} AS s3 FROM h2),
 valued AS (
-  SELECT id, s3 * (CASE WHEN l1 = 'least' AND v1 IS NULL AND coalesce(l2 NOT IN ('at', 'very'), true)
+  SELECT id, s3 * (CASE WHEN l1 = 'least' AND v1 IS NULL AND NOT i1 AND coalesce(l2 NOT IN ('at', 'very'), true)
                         THEN {X.NEGATION} ELSE 1 END)
             * (CASE WHEN pos < but_at THEN {X.BEFORE_BUT} WHEN pos > but_at THEN {X.AFTER_BUT} ELSE 1 END) AS s FROM h3
 ),
