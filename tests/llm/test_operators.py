@@ -168,6 +168,7 @@ def test_archive(ready):
     html = ["<p>" + "x" * 200 + "\r\n\r\nWARC/1.1\r\n</p>", "short", None, "", "é" * 100, "\n" * 150]
     rows = [(i, f"http://{'abc'[i % 3]}.example.com/{i % 4}?q#f", html[i % 6]) for i in range(60)]
     rows += [(6, "dup id", html[0]), (0, None, html[0]), (None, "x\r\ny %0A", html[0]), (None, None, None), (99, "://", html[4])]
+    rows += [(200, "one id", html[0]), (200, "and another text", html[4]), (200, "alone", "z" * 120), (200, "alone too", "short")]
     pages = ready.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4).withColumn("run", F.lit("x"))
     got = warc.archive(pages, range_rows=7).collect()
     want, first = Counter(), {}
@@ -350,6 +351,19 @@ def test_simple8b():
                 assert (simple8b.decode_block(words, offsets, n, 1) == values[4096:8192]).all()
 
 
+def test_words_part_where_the_tokenizer_parts_them():
+    """Every letter, before an ASCII mark: as whole calls. Letters that are normalised to a letter and a mark count."""
+    encoder = tokens.WordEncoder(tokenizer_path())
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    marks = tokens.PUNCTUATION.decode()
+    words = [f"x{c}{marks[i % len(marks)]}" for i, c in enumerate(letters)]
+    words += [f"{c}{m}" for c in "İißΣςŉǰΐกé\u0958\u09dc\ufb2a" for m in [*marks, "}'", "...", "'s."]]
+    for low in range(0, len(words), 10_000):
+        part = words[low: low + 10_000]
+        for word, want in zip(part, encoder.plain(part), strict=True):
+            assert encoder.ids(word.encode()) == want.astype("<u4").tobytes(), word
+
+
 def test_token_files(odd, odd_rows, ready, none, monkeypatch):
     tokenizer = tokens.load_tokenizer(tokenizer_path())
     special = ["a<|endoftext|>B", "<|ENDOFTEXT|> x", "don't. Stop,, 'S x's", "İstanbul. É́  nb\x1csp", "﻿\x00 ok?!"]

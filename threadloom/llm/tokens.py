@@ -73,6 +73,14 @@ class WordEncoder:
         whole, *pieces = self.plain([text, *parts])
         return np.array_equal(whole, np.concatenate(pieces))
 
+    def stands_alone(self, last: str) -> bool:
+        """Whether a word may be cut after this character. Some letters are normalised to a letter and a mark, and
+        the mark then belongs with the punctuation."""
+        if last.isascii():
+            return last.isalnum()
+        found = self.tokenizer.normalizer.normalize_str(last) if self.tokenizer.normalizer else last
+        return last.isalpha() and len(found) == 1 and found.isalpha()
+
     def keep(self, word: bytes, ids: bytes) -> bytes:
         if len(word) <= 64:
             if len(self.young) >= CACHED_WORDS:
@@ -88,7 +96,7 @@ class WordEncoder:
         if found is None:
             stem = word.rstrip(PUNCTUATION)
             last = stem[-4:].decode(errors="ignore")[-1:]
-            if len(stem) < len(word) and (last.isalpha() or last in tuple("0123456789")):
+            if len(stem) < len(word) and self.stands_alone(last):
                 found = self.ids(stem) + self.ids(word[len(stem):])
             else:
                 found = self.plain([word.decode()])[0].tobytes()
