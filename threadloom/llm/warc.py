@@ -56,11 +56,14 @@ def digests(pages: DataFrame) -> DataFrame:
 
 
 def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(page_id, refers_to) of the pages that repeat a page with a smaller id. Null ids neither lead nor follow."""
+    """(page_id, payload_digest, refers_to) of the pages that repeat a page with a smaller id; one row a page and payload.
+
+    Null ids neither lead nor follow.
+    """
     rows = digests(pages).filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
     first = rows.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
     again = rows.join(first.filter("n > 1").drop("n"), "payload_digest").filter("page_id > refers_to")
-    return again.select("page_id", "refers_to").distinct()
+    return again.select("page_id", "payload_digest", "refers_to").distinct()
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
@@ -115,7 +118,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, per_
     """One record per row of ``pages`` (page_id, url, html); null html is an empty payload, null url an empty one."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")
     seen = revisits(rows, min_bytes)
-    joined = rows.join(seen, "page_id", "left").select("page_id", "url", "html", "refers_to")
+    # Rows that share an id may differ in their payloads, so the payload is part of the key.
+    digest = F.sha2(F.coalesce("html", F.lit("")), 256).alias("payload_digest")
+    joined = rows.select("*", digest).join(seen, ["page_id", "payload_digest"], "left").select("page_id", "url", "html", "refers_to")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
