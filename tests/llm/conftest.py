@@ -38,7 +38,7 @@ def odd(ready, odd_rows):
 
     df = ready.createDataFrame(odd_rows, DOC).repartition(5)
     clash = ["fp", "key", "host", "rule", "score", "size", "target", "taken", "hi", "lo", "fingerprint", "_w", "_h", "n",
-             "lang_pred", "g", "sid", "weight", "item_id"]
+             "lang_pred", "g", "sid", "weight", "item_id", "best", "_hit", "hit", "row", "page", "rank", "pii", "kind"]
     return df.select("*", *[F.lit(f"extra {c}").alias(c) for c in clash])
 
 

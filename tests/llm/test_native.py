@@ -41,6 +41,7 @@ def test_judge(ready, blocks):
     rules = [*Q.RULES, ("a.com", "", "block"), ("ä.com", "/ü", "block")] + [(f"h{i}.org", f"/{i}", "block") for i in range(300)]
     urls = URLS + [f"http://www.h{i}.org/{i}/x" for i in range(0, 300, 7)] + [f"http://h{i}.org/x" for i in range(9)]
     pages = ready.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id int, url string, host string")
+    pages = pages.select("*", *[F.lit("x").alias(c) for c in ("best", "page", "s", "block", "suffixes")])
     listed = ready.createDataFrame([*rules, (None, "/", "block"), ("", "/", "block")], "host string, path string, verdict string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in U.judge(pages, listed, max_blocks=blocks).collect()}
     assert got == {i: judge_plain(u, rules) for i, u in enumerate(urls)}

@@ -98,5 +98,6 @@ def contained_items(
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents in which no item is found, unchanged. Of rows with one doc_id all go if one holds an item."""
-    hit = contained_items(docs, items, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    hit = contained_items(docs, items, **options).select(F.col("doc_id").alias("hit")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))  # the caller's columns, whatever their names
+    return rows.join(hit, F.col("row.doc_id").eqNullSafe(F.col("hit")), "left_anti").select("row.*")

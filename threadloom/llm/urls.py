@@ -116,8 +116,10 @@ def judge(
     hits = maybe.join(exact, "rule")
     worth = F.struct(F.length("rule"), "host_length")
     best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), worth).alias("best"))
+    # The caller's columns travel in a struct, whatever their names.
+    rows = rows.select(F.struct(*[F.col(c) for c in kept]).alias("page"), "host", "path")
     judged = rows.join(best, ["host", "path"], "left")
     return judged.select(
-        *kept, "host", "path", F.col("best.rule").alias("rule"),
+        "page.*", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(unlisted)).alias("verdict"),
     )
