@@ -25,6 +25,7 @@ WINDOW = 64
 HIDDEN = 8
 PER_LANG = 400
 PER_DOC = 8
+SPARE = 4  # documents ranked for each one that is drawn
 STEPS = 250
 BATCH = 192
 RATE = 0.01
@@ -229,9 +230,20 @@ def has_letters(text: Column) -> Column:
 
 
 def sample_windows(labelled: DataFrame, per_lang: int, per_doc: int, seed: int) -> DataFrame:
-    """(lang, bytes): evenly spaced windows of the documents with the smallest hashes of each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    narrow = labelled.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(order))
+    """(lang, bytes): evenly spaced windows of the documents with the smallest hashes of each language.
+
+    Only documents below a hash bound are ranked: ``SPARE`` times the wanted number by a language's estimated size,
+    so that the group of a large language is no larger than that of any other.
+    """
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()  # one row a label
+    bounds = [(r["lang"], min(2**63 - 1, -(2**63) + SPARE * per_lang * 2**64 // max(1, r["n"]))) for r in sizes]
+    if not bounds:
+        return labelled.sparkSession.createDataFrame([], "lang string, bytes binary")
+    bounds = labelled.sparkSession.createDataFrame(bounds, "lang string, _bound bigint")
+    hashed = labelled.select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("_hash"))
+    near = hashed.join(F.broadcast(bounds), "lang").filter(F.col("_hash") <= F.col("_bound"))  # the model's labels
+    order = Window.partitionBy("lang").orderBy("_hash", "doc_id")
+    narrow = near.select("doc_id", "lang", "_hash").distinct().withColumn("_n", F.row_number().over(order))
     drawn = narrow.filter(F.col("_n") <= per_lang).select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"))
     same = labelled["doc_id"].eqNullSafe(F.col("_d")) & (labelled["lang"] == F.col("_l"))
     rows = labelled.join(F.broadcast(drawn), same, "left_semi")  # per_lang rows a language
