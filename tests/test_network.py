@@ -1,8 +1,10 @@
 """Network measures against brute force in plain Python on small graphs."""
 
+import hashlib
 import heapq
 import itertools
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from threadloom.labels import HIGH, PERIPHERAL
 from threadloom.operators import communities as K
 from threadloom.operators import graph as G
 from threadloom.operators import paths as W
+from threadloom.operators import pivots as V
 from threadloom.session import Scratch
 
 SCHEMA = "gameLabel string, source string, target string, weight long"
@@ -107,13 +110,16 @@ def test_pagerank_must_settle(graph):
         W.pagerank(graph, max_rounds=2)
 
 
-def brute_betweenness(game):
+def brute_betweenness(game, k=W.PIVOTS, inverse=False):
     near = neighbours(game)
+    if inverse:
+        near = {v: {w: Fraction(1, length) for w, length in out.items()} for v, out in near.items()}
     nodes, n = sorted(near), len(near)
     score = dict.fromkeys(nodes, 0.0)
     if n <= 2:
         return score
-    for s in nodes:
+    drawn = sorted(nodes, key=lambda v: (hashlib.md5(f"{W.SEED}:{v}".encode()).hexdigest(), v))[:k]
+    for s in drawn:
         dist, count, before, order, heap = {s: 0}, {s: 1.0}, {s: []}, [], [(0, s)]
         done = set()
         while heap:
@@ -135,13 +141,15 @@ def brute_betweenness(game):
                 dep[v] += count[v] / count[w] * (1 + dep[w])
             if w != s:
                 score[w] += dep[w]
-    return {v: x / ((n - 1) * (n - 2)) for v, x in score.items()}
+    return {v: x / max(1, (min(k, n) - (v in drawn)) * (n - 2)) for v, x in score.items()}
 
 
-@pytest.mark.parametrize("hub_rows", [W.HUB_ROWS, 2])
-def test_betweenness(graph, hub_rows):
-    got = by_node(graph, W.betweenness(graph, hub_rows=hub_rows), "betweenness")
-    want = {(g, n): x for g in GAMES for n, x in brute_betweenness(g).items()}
+@pytest.mark.parametrize("hub_rows,k,inverse", [(W.HUB_ROWS, W.PIVOTS, False), (2, 3, False), (W.HUB_ROWS, 5, True), (3, 1, False)])
+def test_betweenness(graph, monkeypatch, hub_rows, k, inverse):
+    monkeypatch.setattr(V, "HELD_BYTES", 8 * k * 16)  # several batches of messages in a task
+    found = W.betweenness(graph, k, length="inverse" if inverse else "weight", hub_rows=hub_rows)
+    got = by_node(graph, found, "betweenness")
+    want = {(g, n): x for g in GAMES for n, x in brute_betweenness(g, k, inverse).items()}
     assert got.keys() == want.keys()
     assert max(abs(got[k] - want[k]) for k in want) < 1e-9
 

@@ -14,10 +14,16 @@ from threadloom.plans.registry import query
 from threadloom.sources import star_views as V
 
 BASE = (Q.EVENTS, Q.edges("revents"), Q.GRAPH)
-# Unrolled rounds of the SQL twins; those after the end of a loop change nothing.
-RANK_ROUNDS = 50
-MERGE_ROUNDS = 14
-HOPS = 30  # more than any shortest path of the test graphs has
+# Unrolled rounds of the SQL twins. A loop that has not come to its own end by then raises an error in the twin.
+RANK_ROUNDS = W.MAX_ROUNDS
+MERGE_ROUNDS = 16
+HOPS = 30
+FEW_PIVOTS = 7
+
+
+def ended(unless: str, loop: str) -> str:
+    """One row, or an error if the condition on the last round's tables holds."""
+    return f"(SELECT CASE WHEN {unless} THEN error('{loop} goes on after its last round') END AS ended)"
 
 
 def events_graph(spark, sf):
@@ -80,17 +86,20 @@ r{i} AS MATERIALIZED (SELECT game, node, new AS r, abs(new - old) AS moved FROM
   SELECT game, node, r AS old, CASE WHEN gap < n * {W.TOLERANCE} THEN r
     ELSE {1 - W.DAMPING:.2f} / n + {W.DAMPING} * (coalesce(g, 0) + s / n) END AS new
   FROM r{i - 1} JOIN counts USING (game) JOIN sunk{i} USING (game) LEFT JOIN got{i} USING (game, node)))""")
+    unsettled = f"""EXISTS (SELECT game FROM r{RANK_ROUNDS} JOIN counts USING (game) GROUP BY game, n
+  HAVING sum(moved) >= n * {W.TOLERANCE})"""
+    parts.append(f"ranked AS (SELECT game, node, r FROM r{RANK_ROUNDS} CROSS JOIN {ended(unsettled, 'PageRank')})")
     return ",\n".join(parts)
 
 
-@query("pagerank", f"{Q.with_(*BASE, rank_sql())} SELECT game, node, round(r, 6) AS pagerank FROM r{RANK_ROUNDS}")
+@query("pagerank", f"{Q.with_(*BASE, rank_sql())} SELECT game, node, round(r, 6) AS pagerank FROM ranked")
 def pagerank(spark, sf):
     graph = events_graph(spark, sf)
     return rounded(graph.named(W.pagerank(graph)), "pagerank")
 
 
-def paths_sql() -> str:
-    """All pairs: distances, then path counts hop by hop."""
+def paths_sql(pivots: int | None = None) -> str:
+    """All pairs: distances, then path counts hop by hop. Sources are all vertices, or the first so many per game."""
     parts = ["d0 AS MATERIALIZED (SELECT game, node AS s, node AS t, 0 AS d FROM verts)"]
     for i in range(1, HOPS + 1):
         parts.append(f"""d{i} AS MATERIALIZED (SELECT game, s, t, min(d) AS d FROM (
@@ -106,12 +115,18 @@ def paths_sql() -> str:
     union = " UNION ALL ".join(f"SELECT * FROM n{i}" for i in range(HOPS + 1))
     parts.append(f"""sigma AS MATERIALIZED (SELECT game, s, t, sum(x) AS x, any_value(d) AS d FROM ({union})
   JOIN d{HOPS} USING (game, s, t) GROUP BY ALL)""")
+    parts.append(f"""pivots AS (SELECT game, node AS s FROM verts QUALIFY
+  row_number() OVER (PARTITION BY game ORDER BY md5('{W.SEED}:' || node), node) <= {pivots or 'count(*) OVER (PARTITION BY game)'})""")
     parts.append("""between_sum AS (SELECT a.game, a.t AS node, sum(a.x * b.x / c.x) AS b FROM sigma a
+  JOIN pivots p ON p.game = a.game AND p.s = a.s
   JOIN sigma b ON b.game = a.game AND b.s = a.t JOIN sigma c ON c.game = a.game AND c.s = a.s AND c.t = b.t
   WHERE a.s <> a.t AND b.t <> a.t AND a.s <> b.t AND a.d + b.d = c.d GROUP BY ALL)""")
-    parts.append("""between AS (SELECT game, node, coalesce(b, 0) / ((n - 1) * (n - 2)) AS b FROM verts
-  JOIN (SELECT game, count(*) AS n FROM verts GROUP BY ALL) USING (game) LEFT JOIN between_sum USING (game, node))""")
-    return ",\n".join(parts).replace("between AS", "betw AS")
+    more = f"""EXISTS (FROM n{HOPS}) OR EXISTS (SELECT game, s, t, d FROM d{HOPS} EXCEPT SELECT game, s, t, d FROM d{HOPS - 1})"""
+    parts.append(f"""betw AS (SELECT game, node, coalesce(b, 0) / ((least(n, {pivots or 'n'}) - (p.s IS NOT NULL)::INT) * (n - 2)) AS b
+  FROM verts v JOIN (SELECT game, count(*) AS n FROM verts GROUP BY ALL) USING (game)
+  LEFT JOIN between_sum USING (game, node) LEFT JOIN pivots p ON p.game = v.game AND p.s = v.node
+  CROSS JOIN {ended(more, 'the search for paths')})""")
+    return ",\n".join(parts)
 
 
 @query("betweenness", f"{Q.with_(*BASE, paths_sql())} SELECT game, node, round(b, 6) AS betweenness FROM betw")
@@ -120,6 +135,13 @@ def betweenness(spark, sf):
     return rounded(graph.named(W.betweenness(graph)), "betweenness")
 
 
+@query("betweenness_few_pivots", f"""{Q.with_(*BASE, paths_sql(FEW_PIVOTS))}
+SELECT game, node, round(b, 6) AS betweenness FROM betw""")
+def betweenness_few_pivots(spark, sf):
+    graph = events_graph(spark, sf)
+    return rounded(graph.named(W.betweenness(graph, k=FEW_PIVOTS)), "betweenness")
+
+
 COMMENTS_GRAPH = (Q.COMMENTS, Q.edges("comments"), Q.GRAPH)
 REACH = """
 reach AS (
@@ -218,11 +240,13 @@ cl{i + 1} AS MATERIALIZED (
     SELECT l.game, coalesce(m.now, l.a) AS a, coalesce(n.now, l.b) AS b, weight FROM cl{i} l
     LEFT JOIN move{i} m ON m.game = l.game AND m.was = l.a LEFT JOIN move{i} n ON n.game = l.game AND n.was = l.b)
   WHERE a <> b GROUP BY ALL)""")
+    more = f"""EXISTS (SELECT 1 FROM cl{MERGE_ROUNDS} l JOIN w2 ON w2.game = l.game JOIN cg{MERGE_ROUNDS} x ON x.game = l.game AND x.id = l.a
+  JOIN cg{MERGE_ROUNDS} y ON y.game = l.game AND y.id = l.b WHERE w2 * weight > x.d * y.d)"""
     parts.append(f"""
 part AS MATERIALIZED (
   SELECT game, node, CAST(number AS INTEGER) AS community FROM cp{MERGE_ROUNDS} JOIN (
     SELECT game, id, row_number() OVER (PARTITION BY game ORDER BY count(*) DESC, min(node)) - 1 AS number
-    FROM cp{MERGE_ROUNDS} GROUP BY game, id) USING (game, id))""")
+    FROM cp{MERGE_ROUNDS} GROUP BY game, id) USING (game, id) CROSS JOIN {ended(more, 'the agglomeration')})""")
     return ",".join(parts)
 
 
@@ -271,7 +295,7 @@ def network_summary(spark, sf):
 @query("centrality_table", f"""{Q.with_(*BASE, communities_sql(), rank_sql(), paths_sql())}
 SELECT game, node AS "authorChannelId", community AS community_id, weighted_degree, in_degree, out_degree,
        round(r, 6) AS pagerank, round(b, 6) AS betweenness
-FROM verts JOIN part USING (game, node) JOIN wdeg USING (game, node) JOIN r{RANK_ROUNDS} USING (game, node)
+FROM verts JOIN part USING (game, node) JOIN wdeg USING (game, node) JOIN ranked USING (game, node)
 JOIN betw USING (game, node)""")
 def centrality_table(spark, sf):
     graph = events_graph(spark, sf)
@@ -300,7 +324,7 @@ def comment_community(spark, sf):
 CENTRAL_GROUP = """CASE WHEN weighted_degree >= quantile_cont(weighted_degree, 0.9) OVER (PARTITION BY game)
               THEN 'High centrality' ELSE 'Peripheral' END AS centrality_group"""
 CENTRAL = f"""
-central AS (SELECT w.*, r AS pagerank, {CENTRAL_GROUP} FROM wdeg w JOIN r{RANK_ROUNDS} USING (game, node))"""
+central AS (SELECT w.*, r AS pagerank, {CENTRAL_GROUP} FROM wdeg w JOIN ranked USING (game, node))"""
 
 
 @query("centrality_group", f"""{Q.with_(*BASE)}
@@ -325,13 +349,14 @@ def network_enrich(spark, sf):
     )
 
 
-@query("top_communities", f"""{Q.with_(*BASE, Q.PART)}
+@query("top_communities", f"""{Q.with_(*BASE, communities_sql())}
 SELECT *, game || ' C' || community_id AS label FROM (
-  SELECT game, community AS community_id, count(*) AS users, CAST(sum(strength) AS BIGINT) AS weighted_degree_sum
-  FROM part JOIN udeg USING (game, node) GROUP BY ALL)
+  SELECT game, community AS community_id, count(*) AS users, CAST(coalesce(sum(strength), 0) AS BIGINT) AS weighted_degree_sum
+  FROM part LEFT JOIN udeg USING (game, node) GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY game ORDER BY users DESC, community_id) <= 10""")
 def top_communities(spark, sf):
-    return D.top_groups(community_sizes(spark, sf), "game", "users", "community_id", 10)
+    graph = events_graph(spark, sf)
+    return D.top_groups(G.community_sizes(graph, found_partition(graph)), "game", "users", "community_id", 10)
 
 
 @query("display_subgraph", f"""{Q.with_(*COMMENTS_GRAPH, REACH, '''
@@ -340,7 +365,7 @@ shown AS (
     SELECT *, row_number() OVER (PARTITION BY game ORDER BY weighted_degree DESC, node) AS place FROM comp JOIN wdeg USING (game, node)
     WHERE (game, component) IN (
       SELECT (game, component) FROM (SELECT game, component, count(*) AS n FROM comp GROUP BY ALL)
-      QUALIFY row_number() OVER (PARTITION BY game ORDER BY n DESC, component) = 1)) WHERE place <= 40
+      QUALIFY row_number() OVER (PARTITION BY game ORDER BY n DESC, component) = 1)) WHERE place <= 250
 ),
 kept AS (SELECT b.* FROM both_ways b JOIN shown s ON s.game = b.game AND s.node = b.src
          JOIN shown t ON t.game = b.game AND t.node = b.dst)''', recursive=True)}
@@ -348,5 +373,5 @@ SELECT game, node, round(40 + 8 * sqrt(coalesce(s, 0)), 6) AS node_size FROM sho
 LEFT JOIN (SELECT game, src AS node, sum(weight) AS s FROM kept GROUP BY ALL) USING (game, node)""")
 def display_subgraph(spark, sf):
     graph = comments_graph(spark, sf)
-    nodes, _ = G.display_subgraph(graph, W.connected_components(graph), 40)
+    nodes, _ = G.display_subgraph(graph, W.connected_components(graph))
     return rounded(nodes, "node_size")

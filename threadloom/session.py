@@ -84,6 +84,14 @@ class Scratch:
         table._scratch_path = path  # known to ``release`` without listing the files
         return table
 
+    def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """As ``table``, in buckets of ``key``: joins on it read the table in place."""
+        path, known = self.path(name), f"threadloom_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(known)
+        table = self.spark.table(known)
+        table._scratch_path, table._scratch_name = path, known
+        return table
+
     def measured(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
         """As ``table``, with aggregates observed while writing, so that a loop round is a single job."""
         seen = Observation()
@@ -95,6 +103,8 @@ class Scratch:
         """Drop tables of earlier loop rounds, which nothing reads any more."""
         for table in tables:
             if table is not None:
+                if hasattr(table, "_scratch_name"):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {table._scratch_name}")
                 self.drop(table._scratch_path)
 
     def drop(self, path: str) -> None:
