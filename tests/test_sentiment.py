@@ -169,8 +169,100 @@ def test_partial_cache_keeps_rows_apart(spark, rows, tmp_path):
     assert seen[0] == 8 and sum(seen) == len(CASES)
     S.score_with_cache(df, scorer, path, LEXICON_SCORES)
     assert sum(seen) == len(CASES)
-    S.compact_cache(spark, path, str(tmp_path / "compact"), LEXICON_SCORES)
-    assert spark.read.parquet(str(tmp_path / "compact")).count() == len(CASES)
+    store = S.ScoreCache(spark, path, LEXICON_SCORES)
+    store.compact()
+    assert store.manifest().segments == [] and store.read().count() == len(CASES)
+
+
+def results(rows, ids, label, score, at):
+    """Results as a scorer gives them; the text of a comment is its id twice."""
+    df = rows([(str(i), f"{i} {i}") for i in ids], "commentId string, textClean string")
+    values = {f.name: F.lit(score).cast(f.dataType) if f.dataType.simpleString() == "double" else F.lit(label) for f in LEXICON_SCORES}
+    return df.withColumns({**values, "scored_at": F.lit(at).cast("timestamp")})
+
+
+def scores_of(df):
+    found = [(r.commentId, r.textClean, r.sentiment_label, r.sentiment_score) for r in df.collect()]
+    assert len(found) == len({f[:2] for f in found})
+    return {f[0]: f[2:] for f in found}
+
+
+def test_cache_generations(spark, rows, tmp_path, monkeypatch):
+    """Many appends: the latest result wins, files stay few, and a break leaves the last generation as it was."""
+    store = S.ScoreCache(spark, str(tmp_path / "c"), LEXICON_SCORES, compact_after=3)
+    want = {}
+    for n in range(8):
+        ids, at = range(n % 3, 12, 2), f"2024-01-{10 + (n * 5) % 8} 00:00:00"
+        store.append(results(rows, ids, f"L{n}", n / 10, at), F.col("scored_at"))
+        for i in map(str, ids):
+            want[i] = max(want.get(i, ("", None, None)), (at, f"L{n}", n / 10))
+        assert len(store.manifest().segments) < 3
+        assert scores_of(store.read()) == {i: v[1:] for i, v in want.items()}
+    live = store.manifest().folders()
+    folders = [f for f in store.folder.children() if f.startswith(("segment-", "base-"))]
+    assert len(folders) <= 3 + len(live) + 1 and len(store.folder.children("manifests")) <= 6
+    # An open reader goes on over the next compaction, which keeps the generation before.
+    store.append(results(rows, [50], "new", 0.5, "2024-03-01"), F.col("scored_at"))
+    reader, before = store.read(), scores_of(store.read())
+    store.compact()
+    assert scores_of(reader) == before == scores_of(store.read())
+
+    # The writer dies after the data is written and before the manifest: nothing of it is seen, and it can run again.
+    def dies(*_):
+        raise OSError("lost")
+
+    store.append(results(rows, [51], "new", 0.5, "2024-03-01"), F.col("scored_at"))
+    before = scores_of(store.read())
+    with monkeypatch.context() as broken:
+        broken.setattr(S.Folder, "create", dies)
+        for step in (store.compact, lambda: store.append(results(rows, [52], "x", 0.1, "2024-03-02"), F.col("scored_at"))):
+            with pytest.raises(OSError):
+                step()
+    assert scores_of(S.open_cache(spark, store.path, LEXICON_SCORES)) == before
+    store.append(results(rows, [52], "x", 0.1, "2024-03-02"), F.col("scored_at"))
+    store.compact()
+    assert scores_of(store.read()) == {**before, "52": ("x", 0.1)}
+    store.clean(grace=-60)
+    assert {f for f in store.folder.children() if f.startswith(("segment-", "base-"))} == set().union(
+        *[store.manifest(k).folders() for k in (store.manifest().number, store.manifest().number - 1)])
+
+
+def test_two_writers_meet(spark, rows, tmp_path):
+    """A manifest that exists is never overwritten: the second writer applies its change to the first one's."""
+    one, two = (S.ScoreCache(spark, str(tmp_path / "c"), LEXICON_SCORES) for _ in range(2))
+    old = one.manifest()
+    two.append(results(rows, [1], "a", 0.1, "2024-01-01"), F.col("scored_at"))
+    assert not one.folder.create(f"manifests/{old.number + 1:09d}.json", "{}")
+    one.append(results(rows, [2], "b", 0.2, "2024-01-01"), F.col("scored_at"))
+    assert scores_of(two.read()) == {"1": ("a", 0.1), "2": ("b", 0.2)} and two.manifest().number == 2
+
+
+def test_plain_files_are_a_first_segment(spark, rows, tmp_path):
+    path = str(tmp_path / "c")
+    results(rows, range(5), "old", 0.3, "2023-01-01").write.parquet(path)
+    store = S.ScoreCache(spark, path, LEXICON_SCORES)
+    assert scores_of(store.read()) == {str(i): ("old", 0.3) for i in range(5)}
+    store.append(results(rows, [1, 9], "new", 0.4, "2024-01-01"), F.col("scored_at"))
+    store.compact()
+    assert scores_of(store.read()) == {**{str(i): ("old", 0.3) for i in (0, 2, 3, 4)}, "1": ("new", 0.4), "9": ("new", 0.4)}
+
+
+def test_texts_are_no_exchange_keys(spark, rows, tmp_path):
+    store = S.ScoreCache(spark, str(tmp_path / "c"), LEXICON_SCORES)
+    for n in (1, 2):
+        store.append(results(rows, range(9), "x", 0.1, f"2024-01-0{n}"), F.col("scored_at"))
+        store.compact() if n == 1 else None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = rows([("1", "1 1"), ("77", "z")], "commentId string, textClean string")
+        for found in (S.score_cache_lookup(df, store.read()), S.select_uncached(df, store.read())):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            keys = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+            assert keys and not any("textClean#" in k and "md5" not in k for k in keys), keys
+            assert "Bucketed: true" in plan and not any("score_base" in k for k in keys)
+        assert [r.cache_hit for r in S.score_cache_lookup(df, store.read()).orderBy("commentId").collect()] == [True, False]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_cache_without_columns_is_empty(rows):
