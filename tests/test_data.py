@@ -1,5 +1,9 @@
-import pytest
 import datetime as dt
+import html
+import random
+from html.entities import html5
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -167,3 +171,21 @@ def test_first_of_equal_positions_is_the_same_everywhere(spark):
     for parts in (1, 4):
         kept = preprocess.dedupe_comments(spark.createDataFrame(rows, schema).repartition(parts)).collect()
         assert [r["authorChannelId"] for r in kept] == ["user0"]
+
+
+def test_entities(spark, rows):
+    """As the standard library reads them: all names, whole and cut, all odd numbers, and random pieces."""
+    rng = random.Random(9)
+    pieces = ["&", "&amp", "&amp;", "&#", "&#x", "&#39;", "&#039", "&#x27;", "&#X1F600;", "&#128512", "&#0;", "&#x80;", "&#129;", "&#xD800;",
+              "&#1114112;", "&#99999999999999999999;", "&#x0000000000041;", "&#xfffe;", "&#x1ffff;", "&#11;", "&#13;", "&#127;", "&#xfdd0;",
+              "&notit;", "&notin;", "&noti", "&lt", "&ltx", "&copy2", "&é", "&😀;", "&unknown;", "& ", "&;", "&&", "&#;", "&#x;", "&#xg", "amp;",
+              ";", "x", " ", "\t", "ß", "😀", "&AMP", "&quot", "&acE;", "&NotEqualTilde;", "&CounterClockwiseContourIntegral;",
+              "&" + "a" * 40 + ";", "&amp" + "b" * 40, "&#1e;"]
+    texts = [f"&{name}" for name in html5] + [f"x&{name.rstrip(';')}y" for name in html5] + [f"&{name[:-1]}" for name in html5]
+    texts += [f"&#{n};" for n in [*range(0, 300), 0xFDCF, 0xFDF0, 0xFFFD, 0x10000, 0x10FFFE, 0x10FFFF]] + [f"&#x{n:x}" for n in range(0x7E, 0xA2)]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9))) for _ in range(10_000)]
+    df = rows([(t,) for t in texts] + [(None,)], "t string").repartition(8)
+    found = df.select("t", C.unescape(F.col("t")).alias("u"))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    wrong = [(r.t, r.u) for r in found.collect() if r.u != (None if r.t is None else html.unescape(r.t))]
+    assert not wrong, wrong[:5]

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from threadloom.functions.entities import unescape
 from threadloom.labels import LABELS, NEGATIVE, NEGATIVE_TO, NEUTRAL, POSITIVE, POSITIVE_FROM
 
 # Unicode white space plus the four separators U+001C to U+001F.
@@ -117,17 +114,6 @@ def known_label(label: Column) -> Column:
 # --- text ---------------------------------------------------------------------------------------
 
 
-@F.pandas_udf(StringType())
-def unescape_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
-def unescape(text: Column) -> Column:
-    """HTML entities to characters. Only texts with a possible entity cross to Python."""
-    suspect = F.when(text.rlike("&[#A-Za-z]"), text)
-    return F.coalesce(unescape_entities(suspect), text)
-
-
 def strip_links(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, LINK, " "), f"(?U){SPACE}+", " "))
 
