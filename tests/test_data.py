@@ -1,6 +1,7 @@
 import datetime as dt
 import html
 import random
+from collections import Counter
 from html.entities import html5
 
 import pytest
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions import columns as C
+from threadloom.functions import ranking
 from threadloom.functions.ranking import first_n, numbered
 from threadloom.operators import collect as K
 from threadloom.operators import preprocess as P
@@ -122,9 +124,38 @@ def test_counts_and_author(rows):
     assert values(K.author_id_extract(rows([("id",)], "authorChannelId string")), "authorChannelId") == [(None,)]
 
 
-def test_first_n_splits_large_groups(spark):
+def cut_plain(rows, n):
+    """First ``n`` of each group by (x descending, nulls last; y ascending, nulls first; the rest as counts)."""
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    for own in groups.values():
+        own.sort(key=lambda r: (r[1] is None, -(r[1] or 0), r[2] is not None, r[2] or 0))
+    return {k: [r[1:] for r in own[:n]] for k, own in groups.items()}
+
+
+@pytest.mark.parametrize("n", [3, 20, 41])
+def test_first_n_over_the_limit(rows, monkeypatch, n):
+    """As the window does it, without one: nulls, hot groups, groups below the cap, a null group, repeated rows."""
+    monkeypatch.setattr(ranking, "PRELIMIT", 2)
+    rng = random.Random(n)
+    data = [(g, rng.choice([None, *range(4)]), rng.choice([None, *range(500)])) for g in ["hot"] * 300 + ["a"] * 40 + [None] * 25 + ["b"] * 2]
+    data += [("same", 1, 1)] * 60 + [("near", 2, 2)] * 15 + [("near", 1, i) for i in range(30)]
+    df = rows(data, "g string, x int, y int").repartition(5)
+    cut = first_n(df, ["g"], ["-x", "y"], n)
+    got = {}
+    for g, *rest in cut.collect():
+        got.setdefault(g, []).append(tuple(rest))
+    want = cut_plain(data, n)
+    assert {k: len(v) for k, v in got.items()} == {k: len(v) for k, v in want.items()}
+    assert {k: Counter(v) for k, v in got.items()} == {k: Counter(v) for k, v in want.items()}
+
+
+def test_large_cap_gathers_no_group(spark):
     df = spark.range(20000).select((F.col("id") % 20 > 0).cast("int").alias("k"), F.col("id"))
-    got = first_n(df, ["k"], [F.desc("id")], 5000, F.col("id")).groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    cut = first_n(df, ["k"], ["-id"], 5000)
+    assert "Window" not in cut._jdf.queryExecution().executedPlan().toString()
+    got = cut.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
     want = sorted(i for i in range(20000) if i % 20 > 0)[-5000]
     assert {r.k: (r.n, r.low) for r in got.collect()} == {0: (1000, 0), 1: (5000, want)}
 

@@ -49,7 +49,7 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 def _latest(rows: DataFrame, outputs: T.StructType) -> DataFrame:
     """One row a key: the last written, of several at one time the first by its values."""
-    return first_n(rows, KEY, [F.desc("scored_at"), *map(F.col, sorted(outputs.names))], 1)
+    return first_n(rows, KEY, ["-scored_at", *sorted(outputs.names)], 1)
 
 
 def score_cache_read(cache: DataFrame, outputs: T.StructType) -> DataFrame:

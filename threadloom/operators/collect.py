@@ -37,14 +37,14 @@ def cap_videos_per_game(videos: DataFrame, n: int | None = 25) -> DataFrame:
 
 
 def cap_top_level_per_video(top: DataFrame, n: int | None = 500) -> DataFrame:
-    return first_n(top, ["videoId"], [F.desc("publishedAt"), "commentId"], n, F.col("commentId"))
+    return first_n(top, ["videoId"], ["-publishedAt", "commentId"], n)
 
 
 def cap_replies_per_thread(
     replies: DataFrame, n: int | None, after: Column | None = None, before: Column | None = None
 ) -> DataFrame:
     """The first ``n`` replies inside the window; those outside do not use up the cap."""
-    return first_n(date_window(replies, after, before), ["threadId"], ["ord"], n, F.col("commentId"))
+    return first_n(date_window(replies, after, before), ["threadId"], ["ord"], n)
 
 
 def min_comments_per_video(comments: DataFrame, n: int | None) -> DataFrame:

@@ -353,9 +353,9 @@ def display_subgraph(
     """Largest component per game, cut to the heaviest nodes; nodes with their drawing size, and links."""
     member = _game_of(graph, components, "vid")
     sizes = member.groupBy("game", "component").agg(F.count("*").alias("n"))
-    largest = first_n(sizes, ["game"], [F.desc("n"), "component"], 1).select("component")
+    largest = first_n(sizes, ["game"], ["-n", "component"], 1).select("component")
     inside = member.join(largest, "component", "left_semi").join(weighted_degrees(graph), "vid")
-    nodes = graph.scratch.table(first_n(inside, ["game"], [F.desc("weighted_degree"), "vid"], limit), "shown")
+    nodes = graph.scratch.table(first_n(inside, ["game"], ["-weighted_degree", "vid"], limit), "shown")
     ids = nodes.select("vid")
     links = graph.links.join(ids.withColumnRenamed("vid", "u"), "u", "left_semi")
     links = links.join(ids.withColumnRenamed("vid", "v"), "v", "left_semi")

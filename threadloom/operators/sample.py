@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.ranking import first_n
+from threadloom.functions.ranking import first_n, sort_key
 
 NOTE = "Shortened sample: it shows the structure, not the full data."
 
 
 def head_rows(df: DataFrame, order: list, n: int = 100) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*map(sort_key, order)).limit(n)
 
 
 def head_per_group(df: DataFrame, n: int = 50, key: str = "gameLabel", order: str = "ord") -> DataFrame:
@@ -22,7 +22,7 @@ def head_per_group(df: DataFrame, n: int = 50, key: str = "gameLabel", order: st
 
 
 def top_edges_per_group(edges: DataFrame, n: int = 75, key: str = "gameLabel") -> DataFrame:
-    order = [F.desc("weight"), "source", "target"]
+    order = ["-weight", "source", "target"]
     if key not in edges.columns:
         return head_rows(edges, order, 2 * n)
     return first_n(edges.filter(F.col(key).isNotNull()), [key], order, n)
