@@ -52,6 +52,30 @@ def test_scan_flatten_conform(spark, tmp_path):
     assert sorted(values(summary, "game", "raw_comments_replies", "videos"), key=str) == [("empty", 0, None), ("g", 2, 2)]
 
 
+def test_variants_keep_nulls_and_all_keys(spark, tmp_path):
+    """A present null and undeclared keys of a comment win; counters as text are read; places differ over dumps."""
+    (tmp_path / "a.json").write_text(DUMP)
+    (tmp_path / "b.json").write_text("""{"gameLabel":"h","videos":[{"title":"t","channelTitle":"ch","viewCount":"12","likeCount":"no","comments":[
+      {"commentId":"x","videoTitle":null,"channelTitle":"mine","likeCount":"7","isTopLevel":"False"},
+      {"commentId":"y","likeCount":"many","videoViewCount":3.0,"isTopLevel":true,"extra":{"a":1}}, {"commentId":"z","likeCount":null}]},
+      {"title":"u"}, {"comments":null}, {"comments":[]}]}""")
+    (tmp_path / "c.json").write_text('{"gameLabel": "empty"}')
+    docs = P.number_documents(T.raw_variant_scan(spark, str(tmp_path / "*.json")), Scratch(spark, "t"))
+    flat = P.flatten_comments(docs)
+    got = {r.commentId: r for r in flat.collect()}
+    assert sorted(got) == ["a", "b", "x", "y", "z"] and len({r.ord for r in got.values()}) == 5
+    assert got["a"].ord + 1 == got["b"].ord and got["x"].ord + 1 == got["y"].ord == got["z"].ord - 1
+    assert (got["a"].videoId, got["b"].videoId, got["a"].videoTitle, got["a"].videoViewCount) == ("other", "v1", "one", 5)
+    x, y, z = (got[k] for k in "xyz")
+    assert (x.videoTitle, x.channelTitle, x.likeCount, x.isTopLevel, x.videoViewCount) == (None, "mine", 7, False, 12)
+    assert (y.videoTitle, y.channelTitle, y.likeCount, y.isTopLevel, y.videoViewCount) == ("t", "ch", None, True, 3)
+    assert (z.likeCount, z.videoLikeCount, z.gameLabel, z.videoTitle) == (None, None, None, "t")
+    counts = {r.commentId: r.likeCount for r in K.count_defaults(flat, ["likeCount"]).collect()}
+    assert counts == {"a": 0, "b": 0, "x": 7, "y": 0, "z": 0}
+    typed = P.conform_schema(P.flatten_comments(T.raw_json_scan(spark, str(tmp_path / "a.json"))))
+    assert sorted(map(str, typed.collect())) == sorted(map(str, P.conform_schema(flat.filter("commentId in ('a', 'b')")).collect()))
+
+
 def test_missing_columns_stop(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "t"))
     try:

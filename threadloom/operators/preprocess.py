@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.functions import columns as C
 from threadloom.functions.ranking import first_n
-from threadloom.schemas import FLAT
+from threadloom.schemas import FLAT, S, TS
+from threadloom.session import Scratch
 
 # Flat column -> video attribute it repeats.
 VIDEO_COLUMNS = {
@@ -36,24 +38,81 @@ def first_order(df: DataFrame, order: str = "ord") -> list[str]:
 
 
 def flatten_comments(docs: DataFrame) -> DataFrame:
-    """One row per comment with its video's attributes; ``ord`` is the position in the dump.
+    """One row per comment with its video's attributes; a field of the comment wins over the video's of that name.
 
-    A field of the comment wins over the video's field of the same name.
+    In documents read as variants every key of the comment counts, and one that is present with a null wins too.
+    ``ord`` is the position in the dump; over numbered documents it is unique.
     """
-    videos = docs.select(F.posexplode("videos").alias("_v", "video"))
-    rows = videos.select("_v", F.col("video").dropFields("comments").alias("video"),
-                         F.posexplode("video.comments").alias("_c", "comment"))
-    fields = set(rows.schema["comment"].dataType.names)
-    attributes = set(rows.schema["video"].dataType.names)
+    numbers = [c for c in ("_doc", "_video_bits", "_comment_bits") if c in docs.columns]
+    videos = docs.select(*numbers, F.posexplode("videos").alias("_v", "video"))
+    rows = videos.select(*numbers, "_v", "video", F.posexplode(_comments(docs, F.col("video"))).alias("_c", "comment"))
+    if _as_variants(docs):
+        flat = _from_variant(rows)
+    else:
+        fields = set(rows.schema["comment"].dataType.names)
+        attributes = set(rows.schema["video"].dataType.names)
+        flat = []
+        for column in FLAT:
+            choices = [F.col(f"comment.{column.name}")] if column.name in fields else []
+            if VIDEO_COLUMNS.get(column.name) in attributes:
+                choices.append(F.col(f"video.{VIDEO_COLUMNS[column.name]}"))
+            if choices:
+                flat.append(F.coalesce(*choices).alias(column.name))
+    video = F.col("_v").cast("bigint")
+    ordinal = F.shiftleft(video, 32) + F.col("_c")
+    if numbers:
+        above = F.call_function("shiftleft", F.col("_doc"), F.col("_video_bits")) + video
+        ordinal = F.call_function("shiftleft", above, F.col("_comment_bits")) + F.col("_c")
+    return rows.select(*flat, ordinal.alias("ord"))
+
+
+def number_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The documents, written once, with what makes the places of their comments unique over all of them.
+
+    ``_doc`` counts the documents in the order of the scan; ``_video_bits`` and ``_comment_bits`` are what the longest
+    lists need. Only counts per partition come to the driver.
+    """
+    table = scratch.table(docs.withColumn("_m", F.monotonically_increasing_id()), "documents")
+    longest = F.array_max(F.transform("videos", lambda v: F.coalesce(F.size(_comments(docs, v)), F.lit(0))))
+    part = F.shiftright("_m", 33)
+    rows = table.groupBy(part.alias("p")).agg(
+        F.count("*").alias("n"), F.max(F.size("videos")).alias("v"), F.max(longest).alias("c")).orderBy("p").collect()
+    offsets, total = [], 0
+    for row in rows:
+        offsets.append((row["p"], total))
+        total += row["n"]
+    bits = [max([row[k] or 0 for row in rows], default=0).bit_length() for k in ("v", "c")]
+    if total.bit_length() + sum(bits) > 63:
+        raise ValueError("places of comments do not fit 64 bits")
+    starts = docs.sparkSession.createDataFrame(offsets, "_p bigint, _start bigint")
+    place = F.col("_start") + F.col("_m") - F.shiftleft(F.col("_p"), 33)
+    return table.join(F.broadcast(starts), part == F.col("_p")).withColumns(
+        {"_doc": place, "_video_bits": F.lit(bits[0]), "_comment_bits": F.lit(bits[1])}).drop("_m", "_p", "_start")
+
+
+def _as_variants(docs: DataFrame) -> bool:
+    return docs.schema["videos"].dataType.elementType.typeName() == "variant"
+
+
+def _comments(docs: DataFrame, video: Column) -> Column:
+    return F.try_variant_get(video, "$.comments", "array<variant>") if _as_variants(docs) else video["comments"]
+
+
+def _from_variant(rows: DataFrame) -> list[Column]:
+    """The flat columns of (video, comment) variants: a key of the comment wins, also with a null, over the video's."""
+    def get(source: str, key: str, kind: T.DataType) -> Column:
+        # By way of text, so that a number or flag written as text is read as well; others become null.
+        return F.try_variant_get(source, f"$.{key}", "string").try_cast(kind)
+
     flat = []
     for column in FLAT:
-        choices = [F.col(f"comment.{column.name}")] if column.name in fields else []
-        if VIDEO_COLUMNS.get(column.name) in attributes:
-            choices.append(F.col(f"video.{VIDEO_COLUMNS[column.name]}"))
-        if choices:
-            flat.append(F.coalesce(*choices).alias(column.name))
-    ordinal = F.shiftleft(F.col("_v").cast("bigint"), 32) + F.col("_c")
-    return rows.select(*flat, ordinal.alias("ord"))
+        kind = S if column.dataType == TS else column.dataType
+        value = get("comment", column.name, kind)
+        if column.name in VIDEO_COLUMNS:
+            present = F.try_variant_get("comment", f"$.{column.name}", "variant").isNotNull()
+            value = F.when(present, value).otherwise(get("video", VIDEO_COLUMNS[column.name], kind))
+        flat.append(value.alias(column.name))
+    return flat
 
 
 def conform_schema(df: DataFrame, keep: list[str] | None = None) -> DataFrame:

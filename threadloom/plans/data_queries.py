@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import columns as C
@@ -218,6 +219,25 @@ def flatten_comments(spark, sf):
     )
 
 
+@query("flatten_variants", f"""{Q.with_(DUMP_SQL)}
+SELECT id AS "commentId", game AS "gameLabel", 'v' || conv_id AS "videoId", NULL::VARCHAR AS "channelTitle",
+       CASE WHEN turn % 4 = 0 THEN 'own ' || conv_id WHEN turn % 4 <> 1 THEN 'Conversation ' || conv_id END AS "videoTitle",
+       CASE WHEN turn % 4 = 2 THEN 77 WHEN turn % 4 <> 1 THEN conv_id * 10 END AS "videoViewCount",
+       CASE WHEN turn % 4 IN (0, 2) THEN turn ELSE 0 END AS "likeCount", turn = 0 AS "isTopLevel", text,
+       1::BIGINT AS "sameOrd", row_number() OVER (PARTITION BY conv_id // 3 ORDER BY conv_id, turn)::INT AS place FROM turns""")
+def flatten_variants(spark, sf):
+    store = Scratch(spark, "dump")
+    path = store.path("json")
+    V.text_dump(spark, sf).write.text(path)
+    docs = P.number_documents(T.raw_variant_scan(spark, path, one_per_line=True), store)
+    flat = store.table(K.count_defaults(P.flatten_comments(docs), ["likeCount"]), "flat")
+    doc = F.floor(F.substring("videoId", 2, 20).cast("bigint") / 3)
+    places = flat.groupBy("ord").agg(F.count("*").alias("sameOrd"), F.min(doc).alias("doc")).withColumn(
+        "place", F.row_number().over(Window.partitionBy("doc").orderBy("ord")))
+    return flat.join(places, "ord").select("commentId", "gameLabel", "videoId", "channelTitle", "videoTitle", "videoViewCount", "likeCount",
+                                           "isTopLevel", "text", "sameOrd", "place")
+
+
 @query("conform_schema", f"""{Q.with_(DUMP_SQL)}
 SELECT id AS "commentId", NULL::VARCHAR AS "channelTitle", NULL::BIGINT AS "totalReplyCount",
        '2024-01-05T10:00:00Z' AS "publishedAt", '2024-01-01T00:00:00Z' AS "videoPublishedAt", 24 AS columns FROM turns""")
@@ -340,10 +360,12 @@ def head_rows(spark, sf):
 
 
 @query("truncate_nested", f"""{Q.with_(DUMP_SQL)}
-SELECT 'v' || conv_id AS "videoId", least(count(*), 3) AS kept, min(id) FILTER (turn = 0) AS "firstId" FROM turns GROUP BY conv_id""")
+SELECT 'v' || conv_id AS "videoId", least(count(*), 50) AS kept, min(id) FILTER (turn = 0) AS "firstId" FROM turns
+GROUP BY conv_id QUALIFY row_number() OVER (PARTITION BY conv_id // 3 ORDER BY conv_id) = 1""")
 def truncate_nested(spark, sf):
-    video = F.col("videos")[0]
-    return U.truncate_nested(V.raw_dump(spark, sf), 1, 3).filter(video["sample_note"].isNotNull()).select(
-        video["videoId"].alias("videoId"), F.size(video["comments"]).cast("bigint").alias("kept"),
-        video["comments"][0]["commentId"].alias("firstId"),
-    )
+    path = Scratch(spark, "dump").path("json")
+    V.text_dump(spark, sf).select(F.regexp_replace("value", r'"likeCount":"[a-z0-9]*"', '"likeCount":0').alias("value")).write.text(path)
+    docs = U.truncate_nested(T.raw_json_scan(spark, path, one_per_line=True))
+    videos = docs.select(F.explode("videos").alias("video")).filter(F.col("video.sample_note").isNotNull())
+    return videos.select("video.videoId", F.size("video.comments").cast("bigint").alias("kept"),
+                         F.col("video.comments")[0]["commentId"].alias("firstId"))

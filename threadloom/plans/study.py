@@ -27,7 +27,7 @@ from threadloom.sources import tables as IO
 
 def preprocess(spark: SparkSession, dumps: list[str], out: str, one_per_line: bool = False) -> None:
     """Clean comments, reply edges and the summary."""
-    docs = IO.raw_json_scan(spark, dumps, one_per_line)
+    docs = P.number_documents(IO.raw_variant_scan(spark, dumps, one_per_line), Scratch(spark, "dumps"))
     flat = P.conform_schema(P.flatten_comments(docs), keep=["ord"])
     cleaned = Scratch(spark, "cleaned").table(P.clean_comments(flat), "comments")
     IO.table_sink(P.dedupe_comments(P.drop_empty_text(cleaned)), f"{out}/comments_clean")

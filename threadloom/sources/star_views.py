@@ -157,3 +157,29 @@ def raw_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-02-01T00:00:00Z").alias("collectedAtUtc"),
         F.array(F.struct(*[video[n].cast(k).alias(n) for n, k in kinds.items()])).alias("videos"),
     )
+
+
+def text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per row (``value``), three conversations as its videos.
+
+    Of the comments some name keys of their video again, with a value or a null, and some write counters as text.
+    """
+    turns = read(spark, sf_dir, "conversations")
+    conv, turn = F.col("conv_id").cast("string"), F.col("turn")
+    plain = F.to_json(F.struct(
+        F.concat(F.lit("g"), (F.col("conv_id") % 4).cast("string")).alias("gameLabel"),
+        F.concat_ws("-", conv, turn.cast("string")).alias("commentId"), (turn == 0).alias("isTopLevel"),
+        F.col("role").alias("authorChannelId"), F.col("text"), F.lit("2024-01-05T10:00:00Z").alias("publishedAt"),
+    ))
+    more = (F.when(turn % 4 == 0, F.concat(F.lit('"videoTitle":"own '), conv, F.lit('","likeCount":"'), turn.cast("string"), F.lit('"')))
+            .when(turn % 4 == 1, '"videoTitle":null,"videoViewCount":null,"likeCount":"many"')
+            .when(turn % 4 == 2, F.concat(F.lit('"videoViewCount":"77","note":{"a":[1]},"likeCount":'), turn.cast("string")))
+            .otherwise('"likeCount":null'))
+    row = F.struct("turn", F.concat(F.expr("left(x, length(x) - 1)"), F.lit(","), more, F.lit("}")).alias("json"))
+    videos = turns.withColumn("x", plain).groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns")).select(
+        "conv_id", F.concat(
+            F.lit('{"videoId":"v'), conv, F.lit('","title":"Conversation '), conv, F.lit('","viewCount":'), (F.col("conv_id") * 10).cast("string"),
+            F.lit(',"comments":['), F.array_join("turns.json", ","), F.lit("]}")).alias("json"))
+    docs = videos.groupBy(F.floor(F.col("conv_id") / 3).alias("doc")).agg(F.array_sort(F.collect_list(F.struct("conv_id", "json"))).alias("videos"))
+    return docs.select(F.concat(F.lit('{"gameLabel":"g","searchQueries":["q"],"collectedAtUtc":"2024-02-01T00:00:00Z","videos":['),
+                                F.array_join("videos.json", ","), F.lit("]}")).alias("value"))

@@ -20,6 +20,14 @@ def raw_json_scan(spark: SparkSession, path: str | list[str], one_per_line: bool
     return docs.withColumn("videos", F.coalesce("videos", F.array().cast(DUMP["videos"].dataType)))
 
 
+def raw_variant_scan(spark: SparkSession, path: str | list[str], one_per_line: bool = False) -> DataFrame:
+    """Nested dumps whose videos stay as written: any keys, nulls told from absent keys, counters of any type."""
+    schema = T.StructType([T.StructField("videos", T.ArrayType(T.VariantType())) if f.name == "videos" else f for f in DUMP])
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", not one_per_line)
+    docs = reader.json(path)
+    return docs.withColumn("videos", F.coalesce("videos", F.array().cast(schema["videos"].dataType)))
+
+
 def require_columns(df: DataFrame, names: list[str], what: str = "table") -> DataFrame:
     missing = [name for name in names if name not in df.columns]
     if missing:
