@@ -9,9 +9,6 @@ import check
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
-# Loops that test_network.py compares with brute force.
-SLOW = {"centrality_table", "network_summary", "display_subgraph", "communities", "pagerank", "betweenness",
-        "connected_components", "top_communities_by_users"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +20,7 @@ def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
     text, _ = check.compare(spark, con, name, SF)
     assert text.startswith(("ok", "rows")), text

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
 import re
+from functools import partial
 
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
@@ -266,19 +268,24 @@ def _by_join(df: DataFrame, table: DataFrame, text: str, scratch: Scratch) -> Da
 # --- a caller's model ---------------------------------------------------------------------------
 
 BATCH_SIZE = 64
+MAX_LENGTH = 256  # tokens of a text that a model reads
 
 
 def batch_classifier(
     df: DataFrame, make_predict_fn, text: str = "textClean", batch_size: int = BATCH_SIZE,
-    method: str = "roberta",
+    method: str = "roberta", max_length: int = MAX_LENGTH,
 ) -> DataFrame:
     """Label and confidence per text from a model loaded once per Python worker.
 
-    ``make_predict_fn()`` returns a function from an array of texts to ``{"label": [...], "score": [...]}``;
-    cutting texts to the model's own length is up to it.
+    ``make_predict_fn`` returns a function from an array of texts to ``{"label": [...], "score": [...]}``. If it takes
+    ``max_length`` it is handed the number of tokens to which its tokenizer has to cut texts. Texts go to the model by
+    length within each partition, so that a batch needs little padding; results belong to their row's key.
     """
+    if "max_length" in inspect.signature(make_predict_fn).parameters:
+        make_predict_fn = partial(make_predict_fn, max_length=max_length)
     kind = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
     predict = predict_batch_udf(make_predict_fn, return_type=kind, batch_size=batch_size)
+    df = df.sortWithinPartitions(F.length(text))
     df = C.computed(df, _out=predict(F.coalesce(F.col(text), F.lit(""))))
     label = C.normalise_label(F.col("_out.label"))
     return df.withColumns({

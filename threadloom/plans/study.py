@@ -39,14 +39,15 @@ def preprocess(spark: SparkSession, dumps: list[str], out: str, one_per_line: bo
 
 def score(
     spark: SparkSession, out: str, method: str, cache: str, make_predict_fn: Callable | None = None,
-    lexicon=None, batches: int = 1,
+    lexicon=None, batches: int = 1, batch_size: int = T.BATCH_SIZE, max_length: int = T.MAX_LENGTH,
 ) -> None:
     """Scores through the cache, sentiment by game and by video. Without a model the lexicon scores."""
     comments = IO.table_scan(spark, f"{out}/comments_clean", ["commentId", "textClean", "gameLabel"])
     if make_predict_fn is None:
         outputs, scorer = LEXICON_SCORES, lambda rows: T.lexicon_sentiment(rows, lexicon)
     else:
-        outputs, scorer = CLASSIFIER_SCORES, lambda rows: T.batch_classifier(rows, make_predict_fn)
+        outputs, scorer = CLASSIFIER_SCORES, lambda rows: T.batch_classifier(
+            rows, make_predict_fn, batch_size=batch_size, max_length=max_length)
     scored = S.score_with_cache(comments, scorer, cache, outputs, batches)
     IO.table_sink(scored, f"{out}/{method}/comments_scored")
     scored = spark.read.parquet(f"{out}/{method}/comments_scored")
