@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,21 +153,20 @@ def test_compound_bounds(rows):
     assert got == ["Positive", "Negative", "Neutral", "Neutral", "Neutral"]
 
 
-def make_measuring_model(max_length):
-    """A model that reads so many words, and tells how much longer the longest text of its batch is."""
-    def predict(texts):
-        sizes = [min(max_length, len(t.split())) for t in texts]
-        return {"label": [f"{s} words" for s in sizes], "score": [float(max(sizes) - s) for s in sizes]}
-
-    return predict
-
-
 def test_classifier_lengths(rows):
     """The maximum length reaches the model, batches hold texts alike in length, and results stay with their keys."""
+    def make_model(max_length):
+        """Reads so many words, and tells how much longer the longest text of the batch is."""
+        def predict(texts):
+            sizes = [min(max_length, len(t.split())) for t in texts]
+            return {"label": np.array([f"{s} words" for s in sizes]), "score": np.array([float(max(sizes) - s) for s in sizes])}
+
+        return predict
+
     rng = random.Random(6)
     texts = [" ".join(["w"] * rng.randrange(1, 60)) for _ in range(400)] + [None, ""]
     df = rows([(str(i), t) for i, t in enumerate(texts)], "commentId string, textClean string").repartition(2)
-    found = T.batch_classifier(df, make_measuring_model, batch_size=8, max_length=50).collect()
+    found = T.batch_classifier(df, make_model, batch_size=8, max_length=50).collect()
     assert {r.commentId: r.roberta_raw_label for r in found} == {
         str(i): f"{min(50, len((t or '').split()))} words" for i, t in enumerate(texts)}
     assert sum(r.sentiment_score for r in found) / len(found) < 2  # 16 or so in batches of texts as they come
