@@ -55,18 +55,31 @@ def test_dedup_lines(odd, odd_rows, batches, fanout):
 def test_runs_hold_a_hot_line_a_few_times(ready, none):
     docs = ready.createDataFrame([(i, "the same line in every one of the documents") for i in range(60)], "doc_id bigint, text string")
     runs = linededup.LineRuns(scratch(ready, "t"), fanout=100)
-    for part in linededup.batches_of(docs, 6):
-        runs.add(linededup.line_hashes(part, 20))
+    number, count = linededup.batch_numbers(docs, 3)
+    assert count == 3
+    for batch in range(count):
+        runs.add(linededup.line_hashes(docs.filter(number == batch), 20))
     assert sum(t.count() for t in runs.tables()) == 1 and runs.frequent().first()["top"] == 59
     assert linededup.dedup_lines(none).count() == 0
 
 
-def test_levels_grow_with_the_rows(odd, odd_rows, monkeypatch):
-    levels, compact = [], linededup.LineRuns.compact
+def test_texts_are_hashed_once(odd, odd_rows, monkeypatch):
+    """Many batches: three levels of runs, while the texts are read as often as with a single batch."""
+    levels, compact, calls, hashes = [], linededup.LineRuns.compact, [], linededup.line_hashes
     monkeypatch.setattr(linededup.LineRuns, "compact", lambda self, level: (levels.append(level), compact(self, level)))
-    got = linededup.dedup_lines(odd, fanout=2, batch_rows=-(-len(odd_rows) // 4))
+    monkeypatch.setattr(linededup, "line_hashes", lambda *a: (calls.append(1), hashes(*a))[1])
+    monkeypatch.setattr(linededup, "GROWTH", 1)
+    got = linededup.dedup_lines(odd, fanout=2, batch_rows=-(-len(odd_rows) // 8))
     assert Counter(tuple(r) for r in got.collect()) == lines_plain([r[:2] for r in odd_rows])
-    assert levels == [0, 0, 1]
+    assert levels == [0, 0, 1, 0, 0, 1, 2] and len(calls) == 1
+
+
+def test_batches_grow(ready):
+    assert [linededup.batch_count(n, 10) for n in (0, 10, 71, 151, 10**6)] == [3, 3, 4, 5, 17]
+    docs = ready.range(10_000).select(F.col("id").alias("doc_id"))
+    number, count = linededup.batch_numbers(docs, 5)
+    sizes = [r["count"] for r in docs.select(number.alias("b")).groupBy("b").count().orderBy("b").collect()]
+    assert count == 5 and sum(sizes) == 10_000 and all(1.6 < b / a < 2.5 for a, b in zip(sizes, sizes[1:]))
 
 
 # --- mixing -----------------------------------------------------------------------------------------

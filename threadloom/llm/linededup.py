@@ -1,7 +1,8 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 A run holds, per line key, the number of documents seen and the largest doc_id among them, hashed into
-buckets and sorted in each. Batches of documents come in order of descending doc_id. A batch's keys are
+buckets and sorted in each. Lines are hashed once, into a table with a part per batch of documents; batches come
+in order of descending doc_id and grow, so that their number follows the logarithm of the rows. A batch's keys are
 merge-anti-joined with the runs: keys that a run has already settled (enough documents, and a larger doc_id
 than any in the batch) are not added again; the rest becomes a new run of level 0. When a level has
 ``fanout`` runs they are compacted into one run of the next level. So a line that is in every document enters
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import LOWER_BYTES, as_bytes, partitions, scratch
@@ -25,7 +26,8 @@ from threadloom.session import Scratch
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-BATCH_ROWS = 1_000_000  # bound of a batch; every batch reads the table once, so it is large
+BATCH_ROWS = 100_000  # rows of the first batch
+GROWTH = 2  # each batch is so many times as large as the one before
 MIN_BATCHES = 3
 FANOUT = 3
 STRIP = b" \t\n\x0b\x0c\r"  # fixed value: the contract's white space
@@ -128,17 +130,27 @@ class LineRuns:
         self.levels = []
 
 
-def batches_of(docs: DataFrame, count: int) -> list[DataFrame]:
-    """Disjoint doc_id ranges in descending order, null ids last; all rows are in one of them."""
-    cuts = docs.select(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10_000)).first()[0] if count > 1 else None
+def batch_count(rows: int, first: int = BATCH_ROWS) -> int:
+    """Batches that hold so many rows if the first holds ``first`` and each next one ``GROWTH`` times as many."""
+    count, size, held = 0, first, 0
+    while held < rows:
+        count, held, size = count + 1, held + size, GROWTH * size
+    return max(MIN_BATCHES, count)
+
+
+def batch_numbers(docs: DataFrame, count: int) -> tuple[Column, int]:
+    """(number of a row's batch by its doc_id, number of batches): ranges in descending order, null ids in the last.
+
+    The borders are estimates; every row is in one batch.
+    """
+    shares = [GROWTH**i for i in range(count)]
+    places = [1 - sum(shares[:i]) / sum(shares) for i in range(1, count)]
+    cuts = docs.select(F.percentile_approx("doc_id", places, 10_000)).first()[0] if count > 1 else None
     cuts = sorted(set(cuts or []), reverse=True)
-    doc, parts, high = F.col("doc_id"), [], None
-    for low in [*cuts, None]:
-        inside = F.lit(True) if high is None else doc <= high
-        inside = inside & (doc > low) if low is not None else inside
-        parts.append(docs.filter(F.coalesce(inside, F.lit(low is None))))
-        high = low
-    return parts
+    if not cuts:
+        return F.lit(0), 1
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.col("doc_id") <= c))
+    return F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(below), len(cuts) + 1
 
 
 def drop_lines(text: bytes, drop: list[bytes], min_chars: int) -> tuple[bytes, int, int]:
@@ -159,17 +171,23 @@ def dedup_lines(
     least ``min_docs`` rows lose all their lines except in the rows with the largest doc_id that holds them.
     Each row is a document; a null doc_id ranks below all others (if all holders are null, all keep the line).
     Repeats inside a document count once and stay or go together. Other columns play no part. The number of
-    ``batches`` follows from the rows, about ``batch_rows`` in each, so levels and compactions grow with the input.
+    ``batches`` follows from the rows, the first with about ``batch_rows``, so levels and compactions grow with the
+    input. Texts are read twice, whatever that number: to hash the lines, and to rebuild the texts. An empty table gives
+    an empty result.
     """
-    store = store or scratch(docs.sparkSession, "lines")
+    spark = docs.sparkSession
+    store = store or scratch(spark, "lines")
     rows = docs.select("doc_id", "text")
+    number, count = batch_numbers(rows, batches or batch_count(rows.count(), batch_rows))
+    hashed, path = line_hashes(rows, min_chars).withColumn("batch", number), store.path("hashed")
+    hashed.write.partitionBy("batch").parquet(path)
+    lines = spark.read.schema(hashed.schema).parquet(path)
     runs = LineRuns(store, min_docs, fanout)
-    for part in batches_of(rows, batches or max(MIN_BATCHES, -(-rows.count() // batch_rows))):
-        runs.add(line_hashes(part, min_chars))
+    for batch in range(count):
+        runs.add(lines.filter(F.col("batch") == batch).drop("batch"))
     frequent = runs.frequent()
     runs.close()
 
-    lines = line_hashes(rows, min_chars)
     lost = lines.join(frequent, KEY).filter(F.coalesce(F.col("doc_id") < F.col("top"), F.col("top").isNotNull()))
     drops = lost.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct(*KEY)).alias("_drop"))
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "_drop")
