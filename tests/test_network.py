@@ -14,6 +14,7 @@ from threadloom.operators import communities as K
 from threadloom.operators import graph as G
 from threadloom.operators import paths as W
 from threadloom.operators import pivots as V
+from threadloom.operators import sketches as E
 from threadloom.session import Scratch
 
 SCHEMA = "gameLabel string, source string, target string, weight long"
@@ -224,6 +225,25 @@ def test_degrees_and_groups(graph, rows):
     assert groups["g", 9] == HIGH and groups["g", 8] == PERIPHERAL and groups["same", 4] == HIGH
 
 
+def test_sketches_merge_over_runs(spark):
+    """Three runs of unequal size: as near to the exact measures as stated, and the same for any order of the runs."""
+    table = spark.range(60_000).select(
+        F.concat(F.lit("g"), F.col("id") % 2).alias("game"), (F.pmod(F.xxhash64("id"), F.lit(70)) * F.pmod(F.xxhash64("id", F.lit(1)), F.lit(70))).alias("weighted_degree"),
+        F.concat(F.lit("u"), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(20_000))).alias("authorChannelId"), "id")
+    parts = [table.filter("id < 1000"), table.filter("id between 1000 and 19999"), table.filter("id >= 20000")]
+    sketches = E.merged_degrees([E.degree_sketches(p) for p in parts])
+    found = E.estimated_centrality_group(table, sketches)
+    high = {r.game: r.share for r in found.groupBy("game").agg(F.avg((F.col("centrality_group") == HIGH).cast("int")).alias("share")).collect()}
+    exact = {r.game: r.share for r in G.centrality_group(table).groupBy("game").agg(
+        F.avg((F.col("centrality_group") == HIGH).cast("int")).alias("share")).collect()}
+    assert set(high) == {"g0", "g1"} and all(abs(high[g] - exact[g]) < 2 * E.RANK_ERROR for g in high)
+    users = [E.user_sketches(p, ["game"]) for p in parts]
+    for runs in (users, users[::-1]):
+        got = {r.game: r.users for r in E.estimated_users(E.merged_users(runs, ["game"]), ["game"]).collect()}
+        want = {r.game: r.n for r in table.groupBy("game").agg(F.count_distinct("authorChannelId").alias("n")).collect()}
+        assert all(abs(got[g] - want[g]) <= E.COUNT_ERROR * want[g] for g in want)
+
+
 def test_enrich_without_graph(spark, rows):
     comments = rows([("g", "a"), ("g", "z")], "gameLabel string, authorChannelId string")
     empty = G.build_graph(rows([], SCHEMA), Scratch(spark, "none"))

@@ -9,6 +9,7 @@ from threadloom.operators import distribution as D
 from threadloom.operators import graph as G
 from threadloom.operators import paths as W
 from threadloom.operators import preprocess as P
+from threadloom.operators import sketches as E
 from threadloom.plans import views_sql as Q
 from threadloom.plans.registry import query
 from threadloom.sources import star_views as V
@@ -335,6 +336,33 @@ def centrality_group(spark, sf):
     return G.centrality_group(degrees, graph.games).select("game", "authorChannelId", "weighted_degree", "centrality_group")
 
 
+@query("degree_sketches", f"""{Q.with_(*BASE)}
+SELECT game, count(*) AS rows, true AS near FROM wdeg GROUP BY game""")
+def degree_sketches(spark, sf):
+    """Sketches of two halves, merged: the share of users below their 90 % bound is near that."""
+    graph = events_graph(spark, sf)
+    degrees = graph.scratch.table(graph.named(G.weighted_degrees(graph)), "degrees")
+    half = F.xxhash64("node") % 2 == 0
+    sketches = E.merged_degrees([E.degree_sketches(degrees.filter(half)), E.degree_sketches(degrees.filter(~half))])
+    bounds = sketches.select("game", E.degree_quantile(F.col("sketch"), E.CENTRAL_SHARE).alias("bound"))
+    below = F.avg((F.col("weighted_degree") < F.col("bound")).cast("int"))
+    most = F.avg((F.col("weighted_degree") <= F.col("bound")).cast("int"))
+    ranks = degrees.join(bounds, "game").groupBy("game").agg(F.count("*").alias("rows"), below.alias("below"), most.alias("most"))
+    near = (F.col("below") <= E.CENTRAL_SHARE + E.RANK_ERROR) & (F.col("most") >= E.CENTRAL_SHARE - E.RANK_ERROR)
+    return ranks.select("game", "rows", near.alias("near"))
+
+
+@query("user_sketches", f"""{Q.with_(Q.EVENTS)}
+SELECT "gameLabel", count(DISTINCT "authorChannelId") AS users, true AS near FROM revents GROUP BY ALL""")
+def user_sketches(spark, sf):
+    """Distinct users of two runs from their merged sketches, next to the exact count."""
+    rows, group = V.reply_events(spark, sf), ["gameLabel"]
+    runs = [E.user_sketches(rows.filter(F.col("ord") % 3 == 0), group), E.user_sketches(rows.filter(F.col("ord") % 3 != 0), group)]
+    found = E.estimated_users(E.merged_users(runs, group), group).withColumnRenamed("users", "estimate")
+    exact = rows.groupBy(*group).agg(F.count_distinct("authorChannelId").alias("users"))
+    return exact.join(found, group).select("gameLabel", "users", (F.abs(F.col("estimate") - F.col("users")) <= F.col("users") * E.COUNT_ERROR + 1).alias("near"))
+
+
 @query("network_enrich", f"""{Q.with_(*COMMENTS_GRAPH, communities_sql(), rank_sql(), paths_sql(), CENTRAL)}
 SELECT "commentId", community AS community_id, weighted_degree, in_degree, out_degree, round(pagerank, 6) AS pagerank,
        round(b, 6) AS betweenness, centrality_group
