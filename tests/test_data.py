@@ -1,5 +1,6 @@
 import datetime as dt
 import html
+import json
 import random
 from collections import Counter
 from html.entities import html5
@@ -52,6 +53,40 @@ def test_scan_flatten_conform(spark, tmp_path):
     assert sorted(values(summary, "game", "raw_comments_replies", "videos"), key=str) == [("empty", 0, None), ("g", 2, 2)]
 
 
+def test_indented_dumps_are_read_in_splits(spark, tmp_path, monkeypatch):
+    """The rows of the whole-document scan, from many tasks: brackets and quotes in texts, empty lists, other lists."""
+    rng = random.Random(12)
+    odd = ["plain", 'quote " and \\ back', "brackets ]}{[ here", '\\"}', "line\nbreak", "ü 😀", ""]
+
+    def comment(n):
+        return {"commentId": f"c{n}", "text": rng.choice(odd), "isTopLevel": n % 2 == 0, "likeCount": n}
+
+    def video(n):
+        return {"title": rng.choice(odd), "videoId": f"v{n}", "viewCount": n, "comments": [comment(i) for i in range(n % 40)]}
+
+    for name, count in (("a", 60), ("b", 3), ("c", 0)):
+        doc = {"gameLabel": name, "searchQueries": ["x", "y ]"], "videos": [video(i) for i in range(count)],
+               "other": [{"videos": [{"a": 1}]}, {}], "last": {"k": [1, 2]}, "collectedAtUtc": f"t{name}"}
+        text = json.dumps(doc, indent=rng.choice([1, 2, 4]), ensure_ascii=name == "a")
+        (tmp_path / f"{name}.json").write_text(text.replace('"videos": [\n', '"videos": [\n{"videoId": "short", "comments": []},\n', 1)
+                                               if name == "b" else text)
+    (tmp_path / "d.json").write_text('{\n "gameLabel": "none"\n}\n')
+    path = str(tmp_path / "*.json")
+    whole = T.raw_json_scan(spark, path)
+    want = whole.select("gameLabel", "searchQueries", "collectedAtUtc", F.explode_outer("videos").alias("video"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        cut = T.raw_indented_scan(spark, path, Scratch(spark, "indented"))
+        assert cut.schema["videos"].dataType == whole.schema["videos"].dataType
+        got = cut.select("gameLabel", "searchQueries", "collectedAtUtc", F.explode_outer("videos").alias("video"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert spark.read.text(path).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        spark.conf.set("spark.sql.files.openCostInBytes", "524288")
+
+
 def test_variants_keep_nulls_and_all_keys(spark, tmp_path):
     """A present null and undeclared keys of a comment win; counters as text are read; places differ over dumps."""
     (tmp_path / "a.json").write_text(DUMP)

@@ -38,6 +38,17 @@ def raw_json_scan(spark, sf):
     return docs.groupBy("gameLabel").agg(F.count("*").alias("docs"), F.sum(comments).alias("comments"))
 
 
+@query("raw_indented_scan", f"""{Q.with_(DUMP_SQL)}
+SELECT 'v' || conv_id AS "videoId", 'g' AS "gameLabel", n AS comments, conv_id * 10 AS "viewCount" FROM turns WHERE ord = 0""")
+def raw_indented_scan(spark, sf):
+    store = Scratch(spark, "dump")
+    path = store.path("json")
+    text = F.regexp_replace("value", r'"likeCount":"[a-z0-9]*"', '"likeCount":0').alias("value")
+    V.text_dump(spark, sf, videos=25, line="\n").select(text).write.option("maxRecordsPerFile", 1).text(path)
+    docs = T.raw_indented_scan(spark, path, store).select("gameLabel", F.explode("videos").alias("video"))
+    return docs.select("video.videoId", "gameLabel", F.size("video.comments").cast("bigint").alias("comments"), "video.viewCount")
+
+
 @query("table_scan", "SELECT doc_id, lang, source, n_chars FROM documents")
 def table_scan(spark, sf):
     wanted = ["doc_id", "lang", "source", "n_chars"]

@@ -159,8 +159,8 @@ def raw_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per row (``value``), three conversations as its videos.
+def text_dump(spark: SparkSession, sf_dir: str, videos: int = 3, line: str = "") -> DataFrame:
+    """One JSON document per row (``value``), some conversations as its videos; ``line`` parts its elements.
 
     Of the comments some name keys of their video again, with a value or a null, and some write counters as text.
     """
@@ -176,10 +176,10 @@ def text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(turn % 4 == 2, F.concat(F.lit('"videoViewCount":"77","note":{"a":[1]},"likeCount":'), turn.cast("string")))
             .otherwise('"likeCount":null'))
     row = F.struct("turn", F.concat(F.expr("left(x, length(x) - 1)"), F.lit(","), more, F.lit("}")).alias("json"))
-    videos = turns.withColumn("x", plain).groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns")).select(
+    rows = turns.withColumn("x", plain).groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns")).select(
         "conv_id", F.concat(
             F.lit('{"videoId":"v'), conv, F.lit('","title":"Conversation '), conv, F.lit('","viewCount":'), (F.col("conv_id") * 10).cast("string"),
             F.lit(',"comments":['), F.array_join("turns.json", ","), F.lit("]}")).alias("json"))
-    docs = videos.groupBy(F.floor(F.col("conv_id") / 3).alias("doc")).agg(F.array_sort(F.collect_list(F.struct("conv_id", "json"))).alias("videos"))
-    return docs.select(F.concat(F.lit('{"gameLabel":"g","searchQueries":["q"],"collectedAtUtc":"2024-02-01T00:00:00Z","videos":['),
-                                F.array_join("videos.json", ","), F.lit("]}")).alias("value"))
+    docs = rows.groupBy(F.floor(F.col("conv_id") / videos).alias("doc")).agg(F.array_sort(F.collect_list(F.struct("conv_id", "json"))).alias("videos"))
+    head = f'{{{line}"gameLabel":"g","searchQueries":["q"],"collectedAtUtc":"2024-02-01T00:00:00Z",{line}"videos":[{line}'
+    return docs.select(F.concat(F.lit(head), F.array_join("videos.json", f",{line}"), F.lit(f"{line}]{line}}}")).alias("value"))
