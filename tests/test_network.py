@@ -7,6 +7,7 @@ import random
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadloom.labels import HIGH, PERIPHERAL
@@ -155,6 +156,29 @@ def test_betweenness(graph, monkeypatch, hub_rows, k, inverse):
     assert max(abs(got[k] - want[k]) for k in want) < 1e-9
 
 
+def test_state_is_joined_and_updated_in_place(graph, spark):
+    """A hop exchanges what the front sends and nothing of the state; the update exchanges the changed rows only."""
+    pivots = graph.vertices.filter("game = 'messy'").limit(4).withColumn("slot", F.row_number().over(Window.orderBy("vid")) - 1)
+    links = graph.both_ways().select("src", "dst", F.col("weight").cast("double").alias("cost"))
+    arcs = G.Adjacency(links, graph.scratch)
+    arcs.parts = 3  # a graph this small would have a single bucket
+    work = V.Pivots(graph.scratch, pivots.select("vid", "slot"), arcs, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        def exchanges(df):
+            return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+        state = work.distances()
+        front = graph.scratch.table(state, "front")
+        sent = work.arriving(front)
+        assert exchanges(sent.join(state.select("vid", F.col("dist").alias("old")), "vid", "left")) == exchanges(sent) + 1
+        changed = front.select("vid", F.col("dist").alias("new"))
+        assert exchanges(state.join(changed, "vid", "full_outer")) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        arcs.close()
+
+
 @pytest.mark.parametrize("hub_rows", [W.HUB_ROWS, 2])
 def test_components(graph, hub_rows):
     names = {r.vid: r.node for r in graph.vertices.collect()}
