@@ -89,11 +89,11 @@ r{i} AS MATERIALIZED (SELECT game, node, new AS r, abs(new - old) AS moved FROM
   FROM r{i - 1} JOIN counts USING (game) JOIN sunk{i} USING (game) LEFT JOIN got{i} USING (game, node)))""")
     unsettled = f"""EXISTS (SELECT game FROM r{RANK_ROUNDS} JOIN counts USING (game) GROUP BY game, n
   HAVING sum(moved) >= n * {W.TOLERANCE})"""
-    parts.append(f"ranked AS (SELECT game, node, r FROM r{RANK_ROUNDS} CROSS JOIN {ended(unsettled, 'PageRank')})")
+    parts.append(f"settled AS (SELECT game, node, r FROM r{RANK_ROUNDS} CROSS JOIN {ended(unsettled, 'PageRank')})")
     return ",\n".join(parts)
 
 
-@query("pagerank", f"{Q.with_(*BASE, rank_sql())} SELECT game, node, round(r, 6) AS pagerank FROM ranked")
+@query("pagerank", f"{Q.with_(*BASE, rank_sql())} SELECT game, node, round(r, 6) AS pagerank FROM settled")
 def pagerank(spark, sf):
     graph = events_graph(spark, sf)
     return rounded(graph.named(W.pagerank(graph)), "pagerank")
@@ -296,7 +296,7 @@ def network_summary(spark, sf):
 @query("centrality_table", f"""{Q.with_(*BASE, communities_sql(), rank_sql(), paths_sql())}
 SELECT game, node AS "authorChannelId", community AS community_id, weighted_degree, in_degree, out_degree,
        round(r, 6) AS pagerank, round(b, 6) AS betweenness
-FROM verts JOIN part USING (game, node) JOIN wdeg USING (game, node) JOIN ranked USING (game, node)
+FROM verts JOIN part USING (game, node) JOIN wdeg USING (game, node) JOIN settled USING (game, node)
 JOIN betw USING (game, node)""")
 def centrality_table(spark, sf):
     graph = events_graph(spark, sf)
@@ -325,7 +325,7 @@ def comment_community(spark, sf):
 CENTRAL_GROUP = """CASE WHEN weighted_degree >= quantile_cont(weighted_degree, 0.9) OVER (PARTITION BY game)
               THEN 'High centrality' ELSE 'Peripheral' END AS centrality_group"""
 CENTRAL = f"""
-central AS (SELECT w.*, r AS pagerank, {CENTRAL_GROUP} FROM wdeg w JOIN ranked USING (game, node))"""
+central AS (SELECT w.*, r AS pagerank, {CENTRAL_GROUP} FROM wdeg w JOIN settled USING (game, node))"""
 
 
 @query("centrality_group", f"""{Q.with_(*BASE)}
