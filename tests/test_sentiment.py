@@ -13,6 +13,7 @@ from threadloom.operators import distribution as D
 from threadloom.operators import sentiment as T
 from threadloom.operators import terms as K
 from threadloom.schemas import LEXICON_SCORES
+from threadloom.sources import star_views as V
 
 LISTS = X.Lexicon(words={"good": 1.9, "bad": -2.5, "win": 2.8}, boosters={"very": 0.293, "slightly": -0.293},
                   negations=("not", "never"))
@@ -355,3 +356,28 @@ def test_comparison(merged):
 def test_label_order(rows):
     df = rows([("Negative",), ("odd",), ("Positive",), ("Neutral",)], "sentiment string").withColumn("model", F.lit("m"))
     assert [r.sentiment for r in M.ordered(df, ["model"]).collect()] == ["Positive", "Neutral", "Negative", "odd"]
+
+
+def test_texts_stay_in_the_set_number_of_partitions(spark, tmp_path):
+    """Merged by size, the texts of a table lie in one or two partitions a core."""
+    spark.range(64).selectExpr("id AS doc_id", "'some text' AS text", "'en' AS lang", "'src1' AS source").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.range(9).selectExpr("id AS event_id", "timestamp'2024-01-02' AS ts", "id AS user_id", "1L AS value").write.parquet(
+        f"{tmp_path}/events.parquet")
+    rows = V.comments(spark, str(tmp_path)).select("textOriginal", "text", F.spark_partition_id().alias("p"))
+    assert len({r["p"] for r in rows.collect()}) == 4
+
+
+def test_only_words_with_a_value_are_scored(spark):
+    """Effects are looked up where a valued word asks for them, not laid out for all words."""
+    text = spark.createDataFrame([("1", "one two good")], "commentId string, textClean string")
+    plan = T.lexicon_sentiment(text)._jdf.queryExecution().analyzed().toString()
+    assert "_places" in plan and "_values" not in plan and "_single" not in plan
+
+
+def test_words_by_split_and_by_pattern(spark):
+    """A text with a tab goes through the patterns, one with plain spaces only is split first."""
+    texts = ["(good) bad! !bad !bad! ok?!? a. ab. .ab 'tis -x- é! éé! !!!", " so  !! good", "a", "", "x!y! .. ab.. été;"]
+    rows = spark.createDataFrame([(t, t.replace(" ", "\t")) for t in texts], "a string, b string")
+    for row in rows.select(T.words_of(F.col("a")).alias("x"), T.words_of(F.col("b")).alias("y")).collect():
+        assert row["x"] == row["y"]
