@@ -381,3 +381,19 @@ def test_words_by_split_and_by_pattern(spark):
     rows = spark.createDataFrame([(t, t.replace(" ", "\t")) for t in texts], "a string, b string")
     for row in rows.select(T.words_of(F.col("a")).alias("x"), T.words_of(F.col("b")).alias("y")).collect():
         assert row["x"] == row["y"]
+
+
+def test_terms_are_read_in_place(rows):
+    """Counting texts and joining the vocabulary read one table dealt by term: no exchange of all terms for either."""
+    texts = rows([("g", str(i), f"alpha beta word{i % 4}") for i in range(8)] + [(None, "9", "alpha")], "g string, id string, text string")
+    scores = K.term_scores(texts, ["g"], "id", "text")
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2
+    # Both words are in all texts; of the pairs those with beta are in two texts each, as are the last words.
+    assert {r["term"] for r in scores.collect()} == {f"word{i}" for i in range(4)} | {f"beta word{i}" for i in range(4)}
+
+
+def test_terms_of_texts_use_the_set_partitions(rows):
+    texts = rows([("g", str(i), f"alpha beta{i}") for i in range(200)], "g string, id string, text string").coalesce(1)
+    found = K.doc_terms(texts, ["g"], "id", "text").select(F.spark_partition_id().alias("p")).distinct()
+    assert found.count() > 8
