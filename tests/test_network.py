@@ -179,6 +179,24 @@ def test_state_is_joined_and_updated_in_place(graph, spark):
         arcs.close()
 
 
+def test_vectors_cross_once_per_vertex_and_bucket(spark):
+    """12 hubs with 300 vertices each time: the exchange carries no vector per arc, and none of the state."""
+    edges = [("g", f"v{i:03}", f"hub{j:02}", 1) for i in range(300) for j in range(12)]
+    graph = G.build_graph(spark.createDataFrame(edges, SCHEMA))
+    links = graph.both_ways().select("src", "dst", F.col("weight").cast("double").alias("cost"))
+    arcs = G.Adjacency(links, graph.scratch)
+    arcs.parts = 3
+    pivots = graph.vertices.limit(4).withColumn("slot", F.row_number().over(Window.orderBy("vid")) - 1)
+    work = V.Pivots(graph.scratch, pivots.select("vid", "slot"), arcs, 4)
+    arcs.close()
+    state = work.distances()
+    assert state.count() == 312
+    sent = work.messages(state)
+    assert sent.count() <= 300 + 12 * 3 and sent.select("vid").distinct().count() == 312
+    met = work.arriving(state, own=state.select("vid", F.col("dist").alias("own")))
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("hub_rows", [W.HUB_ROWS, 2])
 def test_components(graph, hub_rows):
     names = {r.vid: r.node for r in graph.vertices.collect()}
