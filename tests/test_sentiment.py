@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -315,6 +316,46 @@ def test_terms(rows):
     assert got == {1: "alpha, beta, alpha beta", 2: "", 3: "", 4: ""}
 
 
+def test_terms_in_blocks(spark, rows, monkeypatch):
+    """Groups of several blocks; no table has a row per text and term, and the scores are those of a plain count."""
+    draw, words = random.Random(7), [a + b for a in "abcdefgh" for b in "xyz"]
+    texts = [("big", str(i), " ".join(draw.choices(words, k=30))) for i in range(150)]
+    texts += [("small", str(i), " ".join(draw.choices(words[:9], k=8))) for i in range(6)] + [("two", "1", "ax"), ("two", "2", "ax")]
+    texts += [("big", "0", "ax bx ax"), ("big", None, "cx dy"), ("big", None, "dy cx"), ("big", "z", "?"), ("big", "y", " "),
+              (None, "1", "ax bx"), (None, "2", "ax bx"), (None, "3", "ax cx"), ("blank", "1", "  "), ("blank", "2", None)]
+    pairs, n, df, x, lengths, expected = [], Counter(), Counter(), {}, Counter(), Counter()
+    for g, doc, text in texts:
+        if g is not None and (text or "").strip():
+            n[g] += 1
+            kept = [w for w in text.split() if w != "?"]
+            pairs.append((g, doc, Counter(kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])])))
+            df.update((g, t) for t in pairs[-1][2])
+    for i, (g, doc, found) in enumerate(pairs):
+        known = {t: c for t, c in found.items() if n[g] >= 3 and 2 <= df[g, t] <= 0.85 * n[g]}
+        x[i] = {t: c * (math.log((1 + n[g]) / (1 + df[g, t])) + 1) for t, c in known.items()}
+        lengths[g, doc] += sum(v * v for v in x[i].values())
+    for i, (g, doc, _) in enumerate(pairs):
+        for t, v in x[i].items():
+            expected[g, t] += v / math.sqrt(lengths[g, doc])
+
+    written = []
+    for name in ("table", "dealt"):
+        def kept_in_mind(self, *args, before=getattr(K.Scratch, name)):
+            written.append(before(self, *args))
+            return written[-1]
+        monkeypatch.setattr(K.Scratch, name, kept_in_mind)
+    monkeypatch.setattr(K, "BLOCK", 400, raising=False)
+    df = rows(texts, "g string, commentId string, textClean string")
+    got = {(r.g, r.term): r.score for r in K.term_scores(df, ["g"], "commentId", "textClean", []).collect()}
+    assert got.keys() == expected.keys() and all(abs(got[k] - v) < 1e-9 for k, v in expected.items())
+    assert max(table.count() for table in written) < sum(len(found) for _, _, found in pairs) / 2
+    top = {r.g: r.top_terms for r in K.top_terms(df, ["g"], stop_words=[]).collect()}
+    best = sorted((k for k in expected if k[0] == "big"), key=lambda k: (-round(expected[k], 10), k[1]))[:8]
+    assert top.keys() == {"big", "small", "two", "blank", None} and top["big"] == ", ".join(t for _, t in best)
+    assert top["two"] == top["blank"] == top[None] == ""
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
 def test_terms_keep_glued_words_out(rows):
     got = rows([("日本go ok it's x1_y a",)], "t string").select(K.tokens(F.col("t"), [])).first()[0]
     assert got == ["ok", "it's", "x1_y"]
