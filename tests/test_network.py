@@ -11,11 +11,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadloom.labels import HIGH, PERIPHERAL
+from threadloom.operators import combined as B
 from threadloom.operators import communities as K
 from threadloom.operators import graph as G
 from threadloom.operators import paths as W
 from threadloom.operators import pivots as V
 from threadloom.operators import sketches as E
+from threadloom.plans import table_queries
 from threadloom.session import Scratch
 
 SCHEMA = "gameLabel string, source string, target string, weight long"
@@ -303,3 +305,16 @@ def test_display_subgraph(graph):
     assert sum(1 for game, _ in sizes if game == "star") == 3
     assert sizes["star", "hub"] == pytest.approx(40 + 8 * 2 ** 0.5)
     assert sizes["two", "a"] == pytest.approx(40 + 8 * links_of("two")["a", "b"] ** 0.5)
+
+
+def test_enriched_comments_carry_the_clean_text_only(spark, tmp_path):
+    """The table under the community summaries holds one text per comment, and the users are a table of known size."""
+    spark.range(60).selectExpr("id AS doc_id", "concat('good word', id % 3, ' again http://a.b') AS text", "'en' AS lang", "'src1' AS source").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.range(60).selectExpr("id AS event_id", "timestamp'2024-01-02' + make_interval(0, 0, 0, id % 20) AS ts", "id % 7 AS user_id",
+                               "1L AS value").write.parquet(f"{tmp_path}/events.parquet")
+    rows = table_queries.enriched(spark, str(tmp_path))
+    assert "textClean" in rows.columns and not {"text", "textOriginal"} & set(rows.columns)
+    assert rows.count() == 60 and rows.filter("textClean like '%http%' or sentiment_label is null").count() == 0
+    summary = B.top_communities_by_users(B.community_summary(rows)).collect()
+    assert summary and sum(r.comments for r in summary) == rows.filter("community_id is not null").count() > 0
